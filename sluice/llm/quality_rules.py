@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import words
+from sluice.llm.common import stored, words
 
 SYMBOLS = r"[^#*$%&|<>]"
 
@@ -35,15 +35,16 @@ class Rule:
     bad: str
 
 
+#: Only what speaks for prose votes good; the absence of a fault is no vote.
 RULES = (
-    Rule("length", "_n_words between 40 and 100000", "_n_words < 25"),
-    Rule("word_length", "_word_chars between 3 * _n_words and 10 * _n_words", "_word_chars < 2.2 * _n_words or _word_chars > 14 * _n_words"),
-    Rule("symbols", "_n_symbols * 50 < _n_words", "_n_symbols * 5 > _n_words"),
-    Rule("repeated_lines", "_n_lines > 1 and _n_dup_lines = 0", "_n_dup_lines * 10 > 3 * _n_lines"),
-    Rule("repeated_windows", "_n_words >= 8 and _n_repeat_words = 0", "_n_repeat_words * 5 > _n_words"),
+    Rule("length", "false", "_n_words < 12"),
+    Rule("word_length", "false", "_word_chars < 2.2 * _n_words or _word_chars > 14 * _n_words"),
+    Rule("symbols", "_n_symbols * 20 <= _n_words", "_n_symbols * 4 > _n_words"),
+    Rule("repeated_lines", "false", "_n_dup_lines * 5 > 2 * _n_lines"),
+    Rule("repeated_windows", "false", "_n_repeat_words * 4 > _n_words"),
     Rule("stop_words", "_n_stop_words * 20 >= _n_words and _n_words > 0", "_n_words >= 20 and _n_stop_words * 50 < _n_words"),
     Rule("line_ends", "_n_ended_lines * 2 > _n_lines", "_n_lines > 3 and _n_ended_lines * 10 < _n_lines"),
-    Rule("distinct_words", "_n_words >= 20 and _n_distinct_words * 4 > _n_words", "_n_words >= 20 and _n_distinct_words * 12 < _n_words"),
+    Rule("distinct_words", "false", "_n_words >= 20 and _n_distinct_words * 12 < _n_words"),
 )
 
 
@@ -55,22 +56,22 @@ def statistics(df: DataFrame, text_col: str = "text", window: int = 8) -> DataFr
     sorted by hash, and those that equal a neighbour mark the words that they cover.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    w = F.col("_w")
-    windows = F.when(
-        F.size(w) >= window,
-        F.array_sort(F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.struct(F.xxhash64(F.slice(w, i, window)).alias("h"), i.alias("p")))),
-    )
-    s = F.col("_s")
+    w, h, s, p = (F.col(x) for x in ("_w", "_h", "_s", "_p"))
+    of_words = F.transform(w, lambda x: F.xxhash64(x))
+    windows = F.when(F.size(w) >= window, F.transform(F.slice(h, 1, F.size(h) - (window - 1)), lambda _, i: F.xxhash64(*(F.get(h, i + k) for k in range(window)))))
+    by_hash = F.when(F.size(F.array_distinct(p)) < F.size(p), F.sort_array(F.transform(p, lambda x, i: F.struct(x.alias("h"), i.alias("p")))))
     same = lambda x, i: x["h"].eqNullSafe(F.get(s, i - 1)["h"]) | x["h"].eqNullSafe(F.get(s, i + 1)["h"])
-    starts = F.array_sort(F.transform(F.filter(s, same), lambda x: x["p"]))
-    p = F.col("_p")
+    starts = F.sort_array(F.transform(F.filter(s, same), lambda x: x["p"]))
+    q = F.col("_q")
     covered = F.aggregate(
-        F.transform(p, lambda x, i: F.least(F.lit(window), F.coalesce(F.get(p, i + 1) - x, F.lit(window)))),
+        F.transform(q, lambda x, i: F.least(F.lit(window), F.coalesce(F.get(q, i + 1) - x, F.lit(window)))),
         F.lit(0).cast("long"),
         lambda acc, x: acc + x,
     )
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = df.withColumn("_w", words(F.col(text_col))).withColumn("_l", lines).withColumn("_s", windows).withColumn("_p", starts)
+    out = df.withColumn("_w", words(F.col(text_col))).withColumn("_l", lines)
+    for name, c in (("_h", of_words), ("_p", windows), ("_s", by_hash), ("_q", starts)):
+        out = out.withColumn(name, c)
     return out.withColumns({
         "_n_words": F.size(w).cast("long"),
         "_word_chars": F.length(F.array_join(w, "")).cast("long"),
@@ -81,52 +82,53 @@ def statistics(df: DataFrame, text_col: str = "text", window: int = 8) -> DataFr
         "_n_stop_words": F.size(F.filter(w, lambda x: F.lower(x).isin(*STOP_WORDS))).cast("long"),
         "_n_ended_lines": F.size(F.filter("_l", lambda x: x.rlike(r"[.!?:;。]['\")\]]*[\x20\x09-\x0D]*$"))).cast("long"),
         "_n_distinct_words": F.size(F.array_distinct(w)).cast("long"),
-    }).drop("_w", "_l", "_s", "_p")
+    }).drop("_w", "_l", "_h", "_p", "_s", "_q")
 
 
 @dataclass
 class LabelModel:
-    """P(good), and for each rule P(vote | class) for the votes -1, 0, 1, as a dict by class (0 bad, 1 good)."""
+    """P(good), and for each rule the probability of its voting good if it votes, for bad and for good documents."""
 
     prior: float
-    votes: list[dict[int, dict[int, float]]] = field(default_factory=list)
+    says_good: list[tuple[float, float]] = field(default_factory=list)
     rounds: int = 0
 
+    def log_odds(self, rule: int, vote: int) -> float:
+        """What a vote adds to the log odds of "good". Whether a rule abstains says nothing."""
+        bad, good = self.says_good[rule]
+        return math.log(good / bad) if vote == 1 else math.log((1 - good) / (1 - bad)) if vote == -1 else 0.0
+
     def posterior(self, cols: list[Column]) -> Column:
-        """The probability of class good, as an expression over the vote columns."""
+        """The probability of "good", as an expression over the vote columns."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for col, p in zip(cols, self.votes, strict=True):
-            ratio = {v: math.log(p[1][v] / p[0][v]) for v in (-1, 0, 1)}
-            odds = odds + F.when(col == 1, F.lit(ratio[1])).when(col == -1, F.lit(ratio[-1])).otherwise(F.lit(ratio[0]))
+        for k, col in enumerate(cols):
+            odds = odds + F.when(col == 1, F.lit(self.log_odds(k, 1))).when(col == -1, F.lit(self.log_odds(k, -1))).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
-def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = 50, accuracy: float = 0.8, prior: float = 0.85, smooth: float = 1.0) -> LabelModel:
+def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = 50, accuracy: float = 0.85, prior: float = 0.7, strength: float = 0.05) -> LabelModel:
     """EM over (votes, count) pairs. It starts from rules that are right with the given accuracy, which fixes which class
-    is "good". Each rule's odds of voting good must stay higher for good documents than for bad ones; where EM would turn
-    a rule round, the rule is made uninformative instead."""
-    model = LabelModel(prior, [{1: {1: accuracy * 0.8, -1: (1 - accuracy) * 0.8, 0: 0.2}, 0: {1: (1 - accuracy) * 0.8, -1: accuracy * 0.8, 0: 0.2}} for _ in range(n_rules)])
+    is "good"; that start also counts as strength * documents more votes in each class (a Beta prior), so that no small
+    cluster of odd votes takes the place of the bad class. Where EM would turn a rule round, the rule says nothing."""
+    model = LabelModel(prior, [(1 - accuracy, accuracy)] * n_rules)
     patterns = sorted(patterns)
     total = sum(n for _, n in patterns)
+    weight = strength * total
     for model.rounds in range(1, rounds + 1) if total else ():
         good = 0.0
-        counts = [{c: {v: smooth * p[c][v] for v in (-1, 0, 1)} for c in (0, 1)} for p in model.votes]
+        yes, seen = [[weight * (1 - accuracy), weight * accuracy] for _ in range(n_rules)], [[weight, weight] for _ in range(n_rules)]
         for votes, n in patterns:
-            odds = math.log(model.prior / (1 - model.prior)) + sum(math.log(p[1][v] / p[0][v]) for p, v in zip(model.votes, votes, strict=True))
+            odds = math.log(model.prior / (1 - model.prior)) + sum(model.log_odds(k, v) for k, v in enumerate(votes))
             q = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
             good += n * q
-            for c, v in zip(counts, votes, strict=True):
-                c[1][v] += n * q
-                c[0][v] += n * (1 - q)
-        fitted = []
-        for c in counts:
-            p = {k: {v: x / sum(c[k].values()) for v, x in c[k].items()} for k in (0, 1)}
-            if p[1][1] * p[0][-1] < p[0][1] * p[1][-1]:
-                both = {v: (c[0][v] + c[1][v]) / (sum(c[0].values()) + sum(c[1].values())) for v in (-1, 0, 1)}
-                p = {0: both, 1: dict(both)}
-            fitted.append(p)
+            for k, v in enumerate(votes):
+                for c, share in ((0, 1 - q), (1, q)) if v else ():
+                    seen[k][c] += n * share
+                    yes[k][c] += n * share * (v == 1)
+        model.says_good = [tuple(a / b for a, b in zip(y, s, strict=True)) for y, s in zip(yes, seen, strict=True)]
+        model.says_good = [p if p[0] < p[1] else (0.5, 0.5) for p in model.says_good]
         moved = abs(good / total - model.prior)
-        model.votes, model.prior = fitted, min(0.999, max(0.001, good / total))
+        model.prior = min(0.999, max(0.001, good / total))
         if moved < 1e-9:
             break
     return model
@@ -136,12 +138,16 @@ def vote(rule: Rule) -> Column:
     return F.when(F.expr(rule.good), 1).when(F.expr(rule.bad), -1).otherwise(0)
 
 
-def score(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, rounds: int = 50) -> DataFrame:
+def score(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, rounds: int = 50, keep_cols: list[str] | None = None) -> DataFrame:
     """df with its statistics, a column _vote_<rule> for each rule and p_good, the posterior probability.
 
-    Reads the rows twice: once for the vote patterns, once for the result; nothing is shuffled but pattern counts."""
+    The statistics are computed once and stored with df's own columns in the shared folder, only
+    those in keep_cols if given; nothing is shuffled but pattern counts."""
     names = [f"_vote_{r.name}" for r in rules]
-    voted = statistics(df, text_col).withColumns({n: vote(r) for n, r in zip(names, rules, strict=True)})
+    stats = statistics(df, text_col)
+    if keep_cols is not None:
+        stats = stats.select(*keep_cols, *(c for c in stats.columns if c not in df.columns))
+    voted = stored(stats.withColumns({n: vote(r) for n, r in zip(names, rules, strict=True)}), "votes")
     found = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # 3**rules rows at most
     model = fit_label_model([(tuple(r[n] for n in names), r["n"]) for r in found], len(rules), rounds)
     return voted.withColumn("p_good", model.posterior([F.col(n) for n in names]))

@@ -52,7 +52,7 @@ FROM moves GROUP BY conv_id
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_rules.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored = quality_rules.score(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_cols=["doc_id"])
     failed = quality_rules.base_failed()
     return scored.select(
         "doc_id",
