@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat_format, quality_rules
+from sluice.llm import chat_format, decontaminate, quality_rules, simhash_dedup
 from sluice.llm.common import table
 
 RS = r"[^\x20\x09-\x0D]+"
 
 
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash_dedup.groups(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))))).alias("x"))
     own = own.select(F.lit(-1).cast("long").alias("conv_id"), "x.turn", "x.role", F.lit("</s>[INST] ok [/INST]").alias("text"))
@@ -62,5 +67,49 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_chat_format": op4_chat_format, "op7_quality_rules": op7_quality_rules}
-SQL = {"op4_chat_format": OP4_SQL}
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"),
+        (F.col("_n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP5_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(2, len(w) - 8)), lambda i: array_to_string(w[i:i + 9], ' '))) AS k, least(10, len(w)) AS n
+  FROM items WHERE len(w) > 0
+), lengths AS (
+  SELECT DISTINCT n FROM windows
+), starts AS (
+  SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: {'i': i, 'k': array_to_string(w[i:i + n - 1], ' ')})) AS s
+  FROM words, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT doc_id, s.i AS i, y.n AS n, item_id FROM starts x JOIN windows y ON y.n = x.n AND y.k = x.s.k
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+QUERIES = {
+    "op2_simhash_dedup": op2_simhash_dedup,
+    "op4_chat_format": op4_chat_format,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_quality_rules": op7_quality_rules,
+}
+SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL}
