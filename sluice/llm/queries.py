@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat_format, decontaminate, quality_rules, simhash_dedup
+from sluice.llm import chat_format, decontaminate, line_dedup, packing, quality_rules, simhash_dedup
 from sluice.llm.common import table
 
 RS = r"[^\x20\x09-\x0D]+"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.size("_removed").cast("long").alias("n_removed"), F.col("_removed").alias("removed_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup.groups(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -106,10 +111,18 @@ FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_decontaminate": op5_decontaminate,
     "op7_quality_rules": op7_quality_rules,
+    "op10_packing": op10_packing,
 }
 SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL}
