@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat_format, decontaminate, line_dedup, packing, quality_rules, simhash_dedup
+from sluice.llm import chat_format, decontaminate, line_dedup, lm_score, packing, quality_rules, rule_classifier, simhash_dedup, substring_dedup, toxicity
 from sluice.llm.common import table
 
 RS = r"[^\x20\x09-\x0D]+"
@@ -21,6 +21,14 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    fold = lambda: F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    out = lm_score.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), trains=~fold(), class_col="lang")
+    return out.select("doc_id", fold().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))))).alias("x"))
     own = own.select(F.lit(-1).cast("long").alias("conv_id"), "x.turn", "x.role", F.lit("</s>[INST] ok [/INST]").alias("text"))
@@ -61,6 +69,16 @@ FROM moves GROUP BY conv_id
 """
 
 
+def op6_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda: F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    out = rule_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), trains=~fold())
+    return out.select("doc_id", fold().alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_cols=["doc_id"])
     failed = quality_rules.base_failed()
@@ -111,6 +129,29 @@ FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), length=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda i: {'i': i, 'k': md5_number(array_to_string(w[i:i + 12], ' '))})) AS s
+  FROM words WHERE len(w) >= 13
+), firsts AS (
+  SELECT s.k AS k, min(doc_id) AS first FROM windows GROUP BY s.k
+), gone AS (
+  SELECT doc_id, list_distinct(flatten(list(range(s.i, s.i + 13)))) AS p
+  FROM windows JOIN firsts ON firsts.k = windows.s.k WHERE doc_id > first GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(p), 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN p IS NULL THEN array_to_string(w, ' ') ELSE coalesce(array_to_string(list_filter(list_transform(w, lambda x, i: CASE WHEN list_contains(p, i) THEN NULL ELSE x END), lambda x: x IS NOT NULL), ' '), '') END) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -120,9 +161,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_chat_format": op4_chat_format,
     "op5_decontaminate": op5_decontaminate,
+    "op6_rule_classifier": op6_rule_classifier,
     "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
 }
-SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL}
+SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL, "op9_substring_dedup": OP9_SQL}
