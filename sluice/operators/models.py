@@ -96,13 +96,13 @@ def auc(predictions: DataFrame, label: str, value: str) -> DataFrame:
 
     Rows are first counted by value, so only distinct values are ordered; their running sums are in two steps, within ranges of
     values and over ranges, so that no task sees all of them."""
-    g = predictions.groupBy(value).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    parts = g.repartitionByRange(value).withColumn("_part", F.spark_partition_id())
-    offsets = parts.groupBy("_part").agg(F.sum("n").alias("_s"))
+    g = predictions.groupBy(F.col(value).alias("_value")).agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
+    parts = g.repartitionByRange("_value").withColumn("_part", F.spark_partition_id())
+    offsets = parts.groupBy("_part").agg(F.sum("_neg").alias("_s"))
     before = F.broadcast(offsets.select("_part", (F.sum("_s").over(Window.orderBy("_part")) - F.col("_s")).alias("_before")))
-    local = F.sum("n").over(Window.partitionBy("_part").orderBy(value)) - F.col("n")
+    local = F.sum("_neg").over(Window.partitionBy("_part").orderBy("_value")) - F.col("_neg")
     below = parts.withColumn("_local", local).join(before, "_part").withColumn("_below", F.col("_before") + F.col("_local"))
-    return below.agg(F.try_divide(F.sum(F.col("p") * (F.col("_below") + F.col("n") / 2.0)), F.sum("p").cast("double") * F.sum("n")).alias("auc"))
+    return below.agg(F.try_divide(F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)), F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"))
 
 
 def area_under_pr(predictions: DataFrame, label: str, raw: str) -> float:
