@@ -1,13 +1,18 @@
 """SimHash near-duplicates: fingerprints, pivot distance tables, and connected groups.
 
-A fingerprint has 64 bits; two rows are linked where theirs differ in at most max_distance bits, and a group is what links
-connect. Equal fingerprints are one node from the start, so copies never meet pair by pair.
+A fingerprint has 64 bits, or a multiple; two rows are linked where theirs differ in at most max_distance bits, and a group
+is what links connect. Equal fingerprints are one node from the start, so copies never meet pair by pair.
 
 The pivot table holds each fingerprint's Hamming distances to fixed reference fingerprints. By the triangle inequality two
 fingerprints whose distances to any pivot differ by more than max_distance are not linked; what survives is verified by the
 exact distance. Pivot distances alone can't say which pairs to look at (a coordinate of random fingerprints has a standard
-deviation of 4, so one pivot lets through almost half of all pairs), so pairs come from buckets: the bits are cut into
-blocks, and fingerprints within max_distance agree in all bits of some `blocks - max_distance` blocks.
+deviation of 4 in 64 bits, so one pivot lets through almost half of all pairs), so pairs come from buckets:
+
+- block_keys(): the 64 bits are cut into blocks, and fingerprints within max_distance agree in all bits of some
+  `blocks - max_distance` blocks. No link is lost.
+- sampled_keys(): for wide fingerprints and distances that blocks can't bound, agreement in random subsets of bits. Two
+  texts whose shingle sets have a Jaccard similarity J differ in each bit with probability p = arccos(2J / (1 + J)) / pi, and
+  meet with probability 1 - (1 - (1 - p)**bits)**tables: 0.97 at J = 0.8, over 0.999 from 0.85 on, at the defaults.
 
 Inside a bucket not all pairs are looked at. First each fingerprint is compared with its bucket's leader; then only pairs
 from different groups are, and of these only those of which one side is outside the bucket's largest group. Groups are the
@@ -35,73 +40,100 @@ from sluice.llm.graph import components
 CHUNK = 1 << 18
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """The signed 64-bit SimHash of the word shingles of a text, A-Z lower-cased."""
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, width: int = 1) -> list[int]:
+    """The SimHash of the word shingles of a text, A-Z lower-cased, as `width` signed 64-bit numbers."""
     w = (text or "").encode().lower().split()  # bytes: ASCII only, in both
     if not w:
-        return 0
+        return [0] * width
     n = max(1, len(w) - shingle + 1)
-    ones = np.zeros(64, dtype=np.int64)
+    ones = np.zeros((width, 64), dtype=np.int64)
     for at in range(0, n, CHUNK):
         part = w[at : at + CHUNK + shingle - 1]
         grams = zip(*(part[k:] for k in range(shingle)), strict=False) if len(w) >= shingle else [w]
-        h = np.fromiter((xxhash.xxh64_intdigest(g, seed) for g in map(b" ".join, grams)), dtype=">u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n).view(">i8")[0])
+        h = np.fromiter((xxhash.xxh64_intdigest(g, seed) for g in map(b" ".join, grams)), dtype=np.uint64)
+        for k in range(width):
+            x = h
+            if k:  # more bits of the same shingle, by a finishing mix of its hash
+                x = (h + np.uint64((0x9E3779B97F4A7C15 * k) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+                x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+                x ^= x >> np.uint64(32)
+            ones[k] += np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > n, axis=1).view(">i8").ravel().tolist()
 
 
-def with_fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3, seed: int = 42, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(keep..., fingerprint long) for each row of df."""
+def with_fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3, seed: int = 42, width: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep..., fingerprint array<long>) for each row of df."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(x.as_py(), shingle, seed) for x in b.column(b.num_columns - 1)], type=pa.int64())
+            fp = pa.array([fingerprint(x.as_py(), shingle, seed, width) for x in b.column(b.num_columns - 1)], type=pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], fp], names=[*keep, "fingerprint"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return df.select(*keep, F.col(text_col)).mapInArrow(run, f"{fields}{', ' if keep else ''}fingerprint long")
+    return df.select(*keep, F.col(text_col)).mapInArrow(run, f"{fields}{', ' if keep else ''}fingerprint array<long>")
+
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
 
-def pivots(n: int = 16, seed: int = 7) -> list[int]:
-    """Reference fingerprints, as signed longs: hashes of 0..n-1."""
-    return [int(np.uint64(xxhash.xxh64_intdigest(str(k), seed)).view(np.int64)) for k in range(n)]
 
+def pivots(n: int, width: int, seed: int = 7) -> list[list[int]]:
+    """Reference fingerprints: hashes of numbers."""
+    return [[_signed(xxhash.xxh64_intdigest(f"{k}:{j}", seed)) for j in range(width)] for k in range(n)]
 
-def bucket_keys(fp: Column, blocks: int, agree: int) -> Column:
-    """One hash for each choice of `agree` blocks: the choice and the bits of fp in them."""
+
+def block_keys(fp: Column, blocks: int, agree: int) -> Column:
+    """For fingerprints of 64 bits: one hash for each choice of `agree` blocks, of the choice and the bits in them."""
     edges = [round(64 * k / blocks) for k in range(blocks + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     choices = [sum(masks[k] for k in c) for c in combinations(range(blocks), agree)]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in choices]
-    return F.array(*(F.xxhash64(F.lit(k), fp.bitwiseAND(F.lit(m))) for k, m in enumerate(signed)))
+    return F.array(*(F.xxhash64(F.lit(k), F.get(fp, 0).bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(choices)))
+
 
+def sampled_keys(fp: Column, width: int, bits: int = 20, tables: int = 96, seed: int = 11) -> Column:
+    """One hash for each table, of the table and `bits` bits of fp drawn for it."""
+    draw = np.random.default_rng(seed)
+    out = []
+    for k in range(tables):
+        at = sorted(int(x) for x in draw.choice(64 * width, size=bits, replace=False))
+        masks = [sum(1 << (x % 64) for x in at if x // 64 == j) for j in range(width)]
+        out.append(F.xxhash64(F.lit(k), *(F.get(fp, j).bitwiseAND(F.lit(_signed(m))) for j, m in enumerate(masks) if m)))
+    return F.array(*out)
 
-def _apart(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+def _apart(a: str, b: str, width: int) -> Column:
+    return sum((F.bit_count(F.get(F.col(a), k).bitwiseXOR(F.get(F.col(b), k))) for k in range(1, width)), F.bit_count(F.get(F.col(a), 0).bitwiseXOR(F.get(F.col(b), 0))))
 
 
 def near_groups(
     items: DataFrame,
-    max_distance: int = 3,
-    blocks: int = 6,
+    keys: Column,
+    max_distance: int,
+    width: int = 1,
     verify: Callable[[DataFrame], DataFrame] | None = None,
     n_pivots: int = 16,
     name: str = "near",
 ) -> DataFrame:
     """(id, component) of every item that is linked to another one.
 
-    items: (id long, fp long), ids distinct. verify: takes candidate pairs (a, b, fa, fb), ids and fingerprints, and returns
-    those (a, b) that are links besides; without it, all pairs within max_distance are."""
-    refs = pivots(n_pivots)
-    keyed = items.select("id", "fp", F.explode(bucket_keys(F.col("fp"), blocks, blocks - max_distance)).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("id", "fp").alias("a"), F.min("fp").alias("fa")).where("n > 1")
-    buckets = stored(keyed.join(shared.select("key", "a", "fa"), "key").withColumn("pivot", F.array(*(F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))).cast("byte") for p in refs))), f"{name}-buckets")
+    items: (id long, fp array<long> of `width`), ids distinct; keys: over fp, an array of bucket keys. verify: takes candidate
+    pairs (a, b) of ids and returns those that are links besides; without it, all pairs within max_distance are."""
+    refs = pivots(n_pivots, width)
+    # Only keys and ids of all items are shuffled; the fingerprints follow where a key is shared, which few are.
+    keyed = items.select("id", F.explode(keys).alias("key"))
+    shared = keyed.selectExpr("id", "key", "count(1) over (partition by key) as n", "min(id) over (partition by key) as a").where("n > 1").select("key", "id", "a")
+    to_pivot = [sum((F.bit_count(F.get("fp", k).bitwiseXOR(F.lit(p[k]))) for k in range(1, width)), F.bit_count(F.get("fp", 0).bitwiseXOR(F.lit(p[0])))).cast("short") for p in refs]
+    buckets = stored(shared.join(items, "id").withColumn("pivot", F.array(*to_pivot)), f"{name}-buckets")
+    leaders = buckets.where("id = a").select("key", F.col("fp").alias("fa"), F.col("pivot").alias("pivot_a")).distinct()
+
+    def close(a: str, b: str) -> Column:
+        return F.greatest(*(F.abs(F.get(F.col(f"pivot{a}"), k) - F.get(F.col(f"pivot{b}"), k)) for k in range(n_pivots))) <= max_distance
 
     def links(pairs: DataFrame) -> DataFrame:
         return verify(pairs) if verify else pairs.select("a", "b")
 
-    stars = buckets.where(F.col("a") != F.col("id")).where(_apart("fp", "fa") <= max_distance)
-    first = stored(links(stars.select("a", F.col("id").alias("b"), "fa", F.col("fp").alias("fb")).distinct()), f"{name}-stars")
+    stars = buckets.where("a <> id").withColumnsRenamed({"fp": "fb", "pivot": "pivot_b"}).join(leaders, "key").where(close("_a", "_b") & (_apart("fa", "fb", width) <= max_distance))
+    first = stored(links(stars.select("a", F.col("id").alias("b")).distinct()), f"{name}-stars")
     groups = components(first, name)
     # From here on, only what the leaders have not joined.
     b = buckets.select("key", "id", "fp", "pivot").join(groups.withColumnRenamed("component", "g"), "id", "left")
@@ -111,10 +143,9 @@ def near_groups(
     split = b.join(most, "key")
     x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "fp", "pivot", "g")))
     y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "fp", "pivot", "g")))
-    near = F.greatest(*(F.abs(F.col("pivot_x")[k] - F.col("pivot_y")[k]) for k in range(n_pivots))) <= max_distance
     once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & near & (_apart("fp_x", "fp_y") <= max_distance))
-    rest = links(met.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("fp_x").alias("fa"), F.col("fp_y").alias("fb")).distinct())
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close("_x", "_y") & (_apart("fp_x", "fp_y", width) <= max_distance))
+    rest = links(met.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
     second = stored(rest, f"{name}-rest")
     out = components(first.unionByName(second), name) if second.take(1) else groups
     for old in (buckets, b):
@@ -123,28 +154,31 @@ def near_groups(
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3, blocks: int = 6, seed: int = 42) -> DataFrame:
-    """(id_col, fingerprint long, component_id): the smallest id reachable over links, for each row of df.
+    """(id_col, fingerprint long, component_id): the smallest id reachable over links, for each row of df; all links are found.
 
     Texts are read once and never shuffled; what is shuffled is one fingerprint per row and, for each distinct fingerprint,
     one key for each choice of blocks."""
-    fps = stored(with_fingerprints(df, text_col, shingle, seed, keep=(id_col,)), "fingerprints")
+    fps = stored(with_fingerprints(df, text_col, shingle, seed, keep=(id_col,)).select(id_col, F.get("fingerprint", 0).alias("fingerprint")), "fingerprints")
     least = fps.groupBy("fingerprint").agg(F.min(id_col).alias("least"))
-    found = near_groups(least.select(F.col("fingerprint").alias("id"), F.col("fingerprint").alias("fp")), max_distance, blocks)
+    items = least.select(F.col("fingerprint").alias("id"), F.array("fingerprint").alias("fp"))
+    found = near_groups(items, block_keys(F.col("fp"), blocks, blocks - max_distance), max_distance)
     nodes = stored(least.join(found.withColumnRenamed("id", "fingerprint"), "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")), "nodes")
     heads = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
     return fps.join(nodes.join(heads, "component").select("fingerprint", "component_id"), "fingerprint")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, max_distance: int = 3) -> DataFrame:
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 4, max_distance: int = 46) -> DataFrame:
     """The rows of df without those that another row of their group stands for: the one with the smallest id stays; of rows
-    that share this id, the ones with the smallest 64-bit hash of id and text (rows equal in both: one of them)."""
+    that share this id, the ones with the smallest 64-bit hash of id and text (rows equal in both: one of them).
+
+    The defaults mean near-copies with a Jaccard similarity of 0.8 or more of their five-word shingles: at 0.8, bits of 256
+    differ with a mean of 39 and a standard deviation of 6; texts that share nothing differ in 128."""
     names = df.columns
     keyed = df.withColumn("_row", F.struct(F.col(id_col).isNull(), F.coalesce(F.col(id_col), F.lit(0)), F.xxhash64(id_col, text_col)))
-    fps = stored(with_fingerprints(keyed, text_col, shingle, keep=("_row",)), "fingerprints")
-    least = fps.groupBy("fingerprint").agg(F.min("_row").alias("_row"))
-    found = near_groups(least.select(F.col("fingerprint").alias("id"), F.col("fingerprint").alias("fp")), max_distance)
-    nodes = least.join(found.withColumnRenamed("id", "fingerprint"), "fingerprint", "left")
-    one = nodes.groupBy(F.coalesce("component", "fingerprint").alias("c")).agg(F.min("_row").alias("_row")).select("_row")
+    fps = stored(with_fingerprints(keyed, text_col, shingle, width=width, keep=("_row",)).withColumn("id", F.xxhash64("fingerprint")), "fingerprints")
+    least = stored(fps.groupBy("id").agg(F.min("_row").alias("_row"), F.min("fingerprint").alias("fp")), "least")
+    found = near_groups(least.select("id", "fp"), sampled_keys(F.col("fp"), width), max_distance, width, n_pivots=8, name="copies")
+    one = least.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min("_row").alias("_row")).select("_row")
     kept = keyed.join(one, "_row", "left_semi")
     twice = fps.groupBy("_row").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_row")
     again = kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
