@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored
+from sluice.llm.common import discard, stored
 
 #: Stands for the end among words; it holds white space, so no word equals it.
 END = "\n"
@@ -153,6 +153,18 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
             yield places, [raw[k] for k in places]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.Table]:
+    """Batches put together to about that many rows: words are handled by length, and long arrays are what numpy is quick with."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 @lru_cache(maxsize=2)
 def _lattice(path: str) -> tuple[Lattice, int]:
     names, _ = vocabulary(path)
@@ -165,12 +177,13 @@ def tokens(text: str | None) -> list[str]:
 
 
 def classes(df: DataFrame, trains: Column, class_col: str | None, most: int = 8) -> list[tuple[object, int]]:
-    """(value, training rows) of the largest classes, at most `most`, and (None, the rest)."""
+    """(value, training rows) of the largest classes, at most `most`, and (None, the rest) if there is one."""
     if class_col is None:
         return [(None, df.where(trains).count())]
     rows = df.where(trains).groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(most).collect()
     found = [(r[0], r["count"]) for r in rows if r[0] is not None]
-    return [*found, (None, df.where(trains).count() - sum(n for _, n in found))]
+    rest = df.where(trains).count() - sum(n for _, n in found)
+    return [*found, (None, rest)] if rest or not found else found
 
 
 def token_counts(df: DataFrame, text_col: str, trains: Column, class_of: Column, n_classes: int) -> DataFrame:
@@ -179,8 +192,8 @@ def token_counts(df: DataFrame, text_col: str, trains: Column, class_of: Column,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                b = batch.slice(at, 4000)
+            for at in range(0, batch.num_rows, 10_000):
+                b = batch.slice(at, 10_000)
                 every, train = set(), [Counter() for _ in names]
                 for text, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     w = [*tokens(text), END]
@@ -210,7 +223,7 @@ def fit_pieces(counts: DataFrame, model_path: str, ends: list[int], rounds: int
         def run(batches: Iterator[pa.RecordBatch], given: np.ndarray = given) -> Iterator[pa.RecordBatch]:
             lattice, n = _lattice(model_path)
             into = np.zeros((k_all, n))
-            for b in batches:
+            for b in _gathered(batches):
                 words, c = b.column(0).to_pylist(), np.stack([b.column(2 + k).to_numpy() for k in range(k_all)]).astype(float)
                 for k in range(k_all):
                     used = np.flatnonzero(c[k])
@@ -244,7 +257,7 @@ def score(
     text_col: str = "text",
     class_col: str | None = None,
     rounds: int = 2,
-    block_bytes: int = 8_000_000,
+    block_bytes: int = 24_000_000,
 ) -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens long, base_score, score double): log10 probabilities of whole texts, base_score
     by add-one word counts, score by the lattice. trains says which rows are learned from; class_col, if given, names the
@@ -255,7 +268,7 @@ def score(
     found = classes(df, trains, class_col)
     k_all = len(found)
     class_of = F.lit(k_all - 1)
-    for k, (value, _) in enumerate(found[:-1]):
+    for k, (value, _) in enumerate(found[:-1] if found[-1][0] is None else found):
         class_of = F.when(F.col(class_col).eqNullSafe(F.lit(value)), k).otherwise(class_of)
     counts = stored(token_counts(df, text_col, trains, class_of, k_all), "words")
     names = [f"c{k}" for k in range(k_all)]
@@ -265,17 +278,19 @@ def score(
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, _ = _lattice(model_path)
-        for b in batches:
+        for b in _gathered(batches):
             words = b.column(0).to_pylist()
             out = np.tile(log_end[:, None], (1, len(words)))
             real = np.array([k for k, w in enumerate(words) if w != END], dtype=np.int64)
             for places, group in by_length([words[k] for k in real]):
                 a, _ = lattice.forward(group, logp)
                 out[:, real[places]] = a[:, -1]
-            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, out)], names=["word", "c", *names, *(f"l{k}" for k in range(k_all))])
+            more = pa.table([*b.columns, *(pa.array(x.astype(np.float32)) for x in out)], names=["word", "c", *names, *(f"l{k}" for k in range(k_all))])
+            yield from more.to_batches(max_chunksize=10_000)
 
-    cols = ", ".join([f"{x} long" for x in ("c", *names)] + [f"l{k} double" for k in range(k_all)])
+    cols = ", ".join([f"{x} long" for x in ("c", *names)] + [f"l{k} float" for k in range(k_all)])
     words = stored(counts.mapInArrow(weigh, f"word string, {cols}"), "word-scores")
+    discard(counts)
 
     def mixed(arcs: tuple[float, float], k: int, less: int) -> Column:
         """ln of a word's probability in class k, with `less` of its occurrences left out."""
@@ -287,7 +302,7 @@ def score(
     # Weights of the whole-word arcs: what fits leave-one-out counts best, in one pass with a column for each candidate.
     fit = words.where("c > 0").agg(*(sum((F.sum(F.when(F.col(f"c{k}") > 0, F.col(f"c{k}") * mixed(a, k, 1)).otherwise(0.0)) for k in range(k_all)), F.lit(0.0)).alias(str(i)) for i, a in enumerate(ARCS))).first()
     arcs = ARCS[max(range(len(ARCS)), key=lambda i: (fit[i] if fit[i] is not None else float("-inf"), -i))]
-    scored = words.select("word", "c", *(mixed(arcs, k, 0).alias(f"p{k}") for k in range(k_all)))
+    scored = words.select("word", "c", *(mixed(arcs, k, 0).cast("float").alias(f"p{k}") for k in range(k_all)))
 
     rows = df.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(n_blocks)).cast("int").alias("block"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     need = rows.groupBy("block").applyInArrow(_distinct, "block int, word string")
@@ -295,7 +310,7 @@ def score(
 
     def finish(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         place = dict(zip(found["word"], range(len(found)), strict=True))
-        c, lp = found["c"].to_numpy(), found[[f"p{k}" for k in range(k_all)]].to_numpy()
+        c, lp = found["c"].to_numpy(), found[[f"p{k}" for k in range(k_all)]].to_numpy(dtype=float)
         base = np.log10((c + 1.0) / (n + 1.0 * (v + 1)))
         out = []
         for text in docs["text"]:
