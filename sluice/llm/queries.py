@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from sluice.llm import chat_format, decontaminate, line_dedup, lm_score, packing, quality_rules, rule_classifier, simhash_dedup, substring_dedup, toxicity
 from sluice.llm.common import table
 
-RS = r"[^\x20\x09-\x0D]+"
-
-
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.size("_removed").cast("long").alias("n_removed"), F.col("_removed").alias("removed_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
