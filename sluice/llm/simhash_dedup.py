@@ -153,6 +153,36 @@ def near_groups(
     return out
 
 
+def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """(id, component) of every item that is linked to another one; near_groups() for keys that say nothing of distances.
+
+    keyed: (id long, key long, size int), a row for each bucket of an item. verify: takes candidate pairs (a, b) of ids and
+    returns the links among them. Pairs with sizes that rule out `similarity` are no candidates; nothing else is left out."""
+    shared = keyed.selectExpr("id", "key", "size", "count(1) over (partition by key) as n", "min(struct(id, size)) over (partition by key) as a").where("n > 1")
+    buckets = stored(shared.select("key", "id", "size", "a"), f"{name}-buckets")
+
+    def close(a: str, b: str) -> Column:
+        return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity) - F.lit(1e-9)
+
+    stars = buckets.where((F.col("a.id") != F.col("id")) & close("a.size", "size"))
+    first = stored(verify(stars.select(F.col("a.id").alias("a"), F.col("id").alias("b")).distinct()), f"{name}-stars")
+    groups = components(first, name)
+    b = buckets.select("key", "id", "size").join(groups.withColumnRenamed("component", "g"), "id", "left")
+    b = stored(b.withColumn("g", F.coalesce("g", "id")), f"{name}-groups")
+    discard(buckets)
+    sizes = b.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "top")
+    split = b.join(most, "key")
+    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "size", "g")))
+    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "size", "g")))
+    once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close("size_x", "size_y"))
+    second = stored(verify(met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()), f"{name}-rest")
+    out = components(first.unionByName(second), name) if second.take(1) else groups
+    discard(b)
+    return out
+
+
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3, blocks: int = 6, seed: int = 42) -> DataFrame:
     """(id_col, fingerprint long, component_id): the smallest id reachable over links, for each row of df; all links are found.
 

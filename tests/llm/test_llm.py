@@ -131,6 +131,29 @@ def test_similar_bounds(spark):
     assert all(r["s"] == (edit(r["a"], r["b"]) <= int(0.2 * max(len(r["a"]), len(r["b"])) + 1e-9)) for r in got)
 
 
+def test_line_links_against_plain_edit_distance(spark):
+    """Pairs with one word replaced, or a typo in a short line: the edit distance alone decides, whatever their SimHash."""
+    rnd = random.Random(11)
+    vocab = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(3, 9))) for _ in range(3000)]
+    lines, pairs = [], 0
+    for n in (3, 6, 10, 12, 20, 30):
+        for _ in range(15):
+            w = [rnd.choice(vocab) for _ in range(n)]
+            v = list(w)
+            k = rnd.randrange(n)
+            v[k] = rnd.choice(vocab) if n > 6 else v[k][:-1] + "z"
+            lines += [" ".join(w), " ".join(v)]
+            pairs += edit(lines[-2], lines[-1]) <= int(0.2 * max(len(lines[-2]), len(lines[-1])) + 1e-9)
+    rnd.shuffle(lines)
+    rows = list(enumerate(lines))
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if abs(len(lines[i]) - len(lines[j])) <= 30 and set(lines[i].split()) & set(lines[j].split()) and edit(lines[i], lines[j]) <= int(0.2 * max(len(lines[i]), len(lines[j])) + 1e-9)]
+    of = find(links, range(len(lines)))
+    got = {r["doc_id"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect() if r["_removed"]}
+    want = {i for i in of if of[i] != i}
+    assert len(want) >= 0.8 * pairs > 50
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
 # --- 2 simhash --------------------------------------------------------------------------------------------------------
 
 
