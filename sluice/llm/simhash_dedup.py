@@ -10,9 +10,9 @@ deviation of 4 in 64 bits, so one pivot lets through almost half of all pairs),
 
 - block_keys(): the 64 bits are cut into blocks, and fingerprints within max_distance agree in all bits of some
   `blocks - max_distance` blocks. No link is lost.
-- sampled_keys(): for wide fingerprints and distances that blocks can't bound, agreement in random subsets of bits. Two
-  texts whose shingle sets have a Jaccard similarity J differ in each bit with probability p = arccos(2J / (1 + J)) / pi, and
-  meet with probability 1 - (1 - (1 - p)**bits)**tables: 0.97 at J = 0.8, over 0.999 from 0.85 on, at the defaults.
+
+keep_one() has no fingerprints: near-copies by the Jaccard similarity of their shingles meet in MinHash buckets, and each pair
+is settled by the exact similarity.
 
 Inside a bucket not all pairs are looked at. First each fingerprint is compared with its bucket's leader; then only pairs
 from different groups are, and of these only those of which one side is outside the bucket's largest group. Groups are the
@@ -90,17 +90,6 @@ def block_keys(fp: Column, blocks: int, agree: int) -> Column:
     return F.array(*(F.xxhash64(F.lit(k), F.get(fp, 0).bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(choices)))
 
 
-def sampled_keys(fp: Column, width: int, bits: int = 20, tables: int = 96, seed: int = 11) -> Column:
-    """One hash for each table, of the table and `bits` bits of fp drawn for it."""
-    draw = np.random.default_rng(seed)
-    out = []
-    for k in range(tables):
-        at = sorted(int(x) for x in draw.choice(64 * width, size=bits, replace=False))
-        masks = [sum(1 << (x % 64) for x in at if x // 64 == j) for j in range(width)]
-        out.append(F.xxhash64(F.lit(k), *(F.get(fp, j).bitwiseAND(F.lit(_signed(m))) for j, m in enumerate(masks) if m)))
-    return F.array(*out)
-
-
 def _apart(a: str, b: str, width: int) -> Column:
     return sum((F.bit_count(F.get(F.col(a), k).bitwiseXOR(F.get(F.col(b), k))) for k in range(1, width)), F.bit_count(F.get(F.col(a), 0).bitwiseXOR(F.get(F.col(b), 0))))
 
@@ -197,19 +186,82 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     return fps.join(nodes.join(heads, "component").select("fingerprint", "component_id"), "fingerprint")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 4, max_distance: int = 46) -> DataFrame:
+def shingles(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """The distinct hashes of the word shingles of a text, A-Z lower-cased, ascending; of all words where they are fewer."""
+    w = (text or "").encode().lower().split()
+    out = np.empty(0, dtype=np.uint64)
+    if not w:
+        return out
+    if len(w) < shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(w), seed)], dtype=np.uint64)
+    for at in range(0, len(w) - shingle + 1, CHUNK):
+        part = w[at : at + CHUNK + shingle - 1]
+        grams = zip(*(part[k:] for k in range(shingle)), strict=False)
+        out = np.union1d(out, np.fromiter((xxhash.xxh64_intdigest(g, seed) for g in map(b" ".join, grams)), dtype=np.uint64))
+    return out
+
+
+def minhash_keys(h: np.ndarray, agree: int, tables: int) -> list[int]:
+    """One key for each table, of `agree` minima of mixes of h; two sets of similarity J share each with probability J**agree."""
+    if not len(h):
+        return [0]
+    out = []
+    for t in range(tables):
+        least = np.empty(agree, dtype=np.uint64)
+        for k in range(agree):
+            x = (h + np.uint64((0x9E3779B97F4A7C15 * (t * agree + k + 1)) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+            least[k] = (x ^ (x >> np.uint64(32))).min()
+        out.append(_signed(xxhash.xxh64_intdigest(least.tobytes(), t)))
+    return out
+
+
+def _similar_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b) of the rows (a, b, ta, tb) whose texts' shingle sets have a Jaccard similarity of at least `similarity`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x, y = shingles(x.as_py(), shingle), shingles(y.as_py(), shingle)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
+
+    return texts.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, agree: int = 4, tables: int = 20) -> DataFrame:
     """The rows of df without those that another row of their group stands for: the one with the smallest id stays; of rows
     that share this id, the ones with the smallest 64-bit hash of id and text (rows equal in both: one of them).
 
-    The defaults mean near-copies with a Jaccard similarity of 0.8 or more of their five-word shingles: at 0.8, bits of 256
-    differ with a mean of 39 and a standard deviation of 6; texts that share nothing differ in 128."""
+    Links are pairs whose sets of five-word shingles have a Jaccard similarity of at least 0.8, by exact count. Pairs to count
+    share a MinHash bucket: 1 - (1 - 0.8**4)**20 = 0.99997 of those at 0.8 do, and more above."""
     names = df.columns
     keyed = df.withColumn("_row", F.struct(F.col(id_col).isNull(), F.coalesce(F.col(id_col), F.lit(0)), F.xxhash64(id_col, text_col)))
-    fps = stored(with_fingerprints(keyed, text_col, shingle, width=width, keep=("_row",)).withColumn("id", F.xxhash64("fingerprint")), "fingerprints")
-    least = stored(fps.groupBy("id").agg(F.min("_row").alias("_row"), F.min("fingerprint").alias("fp")), "least")
-    found = near_groups(least.select("id", "fp"), sampled_keys(F.col("fp"), width), max_distance, width, n_pivots=8, name="copies")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(x.as_py(), shingle) for x in b.column(1)]
+            ids = pa.array([_signed(xxhash.xxh64_intdigest(h.tobytes())) for h in sets], type=pa.int64())
+            keys = pa.array([minhash_keys(h, agree, tables) for h in sets], type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], type=pa.int32()), keys], names=["_row", "id", "size", "keys"])
+
+    row = keyed.schema["_row"].dataType.simpleString()
+    sets = stored(keyed.select("_row", text_col).mapInArrow(run, f"_row {row}, id long, size int, keys array<long>"), "shingles")
+    least = stored(sets.groupBy("id").agg(F.min("_row").alias("_row"), F.min("size").alias("size"), F.min("keys").alias("keys")), "least")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.select("a", "b"), "copy-pairs")
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        found = keyed.select("_row", F.col(text_col).alias("t")).join(least.join(ids, "id").select("id", "_row"), "_row").select("id", "t").dropDuplicates(["id"])
+        texts = stored(found, "copy-texts")
+        both = pairs.join(texts.withColumnsRenamed({"id": "a", "t": "ta"}), "a").join(texts.withColumnsRenamed({"id": "b", "t": "tb"}), "b")
+        return _similar_pairs(both, shingle, similarity)
+
+    found = bucket_groups(least.select("id", F.explode("keys").alias("key"), "size"), similarity, verify, "copies")
     one = least.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min("_row").alias("_row")).select("_row")
     kept = keyed.join(one, "_row", "left_semi")
-    twice = fps.groupBy("_row").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_row")
+    twice = sets.groupBy("_row").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_row")
     again = kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
     return kept.join(twice, "_row", "left_anti").unionByName(again).select(*names)

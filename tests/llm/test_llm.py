@@ -208,6 +208,22 @@ def test_keep_one(spark):
     assert simhash_dedup.keep_one(df.limit(0)).count() == 0
 
 
+def test_keep_one_against_plain_jaccard(spark):
+    """Pairs just above the similarity of 0.8 lose one row, pairs just below it none."""
+    rnd = random.Random(8)
+    rows, want = [], set()
+    for k in range(160):
+        w = [f"w{rnd.randrange(10**7)}" for _ in range(204)]
+        v = list(w)
+        for at in range(10, 10 + 20 * rnd.randint(3, 6), 20):
+            v[at] = f"x{rnd.randrange(10**7)}"
+        a, b = ({tuple(x[i : i + 5]) for i in range(200)} for x in (w, v))
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+        want |= {2 * k} | ({2 * k + 1} if len(a & b) < 0.8 * len(a | b) else set())
+    assert 180 < len(want) < 300
+    assert {r["doc_id"] for r in simhash_dedup.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()} == want
+
+
 # --- 3 LM scoring -----------------------------------------------------------------------------------------------------
 
 
