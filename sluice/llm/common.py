@@ -37,6 +37,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hidden(df: DataFrame, *names: str) -> list[str]:
+    """Column names for inside use that df, in whatever case, does not have."""
+    mine = {c.lower() for c in df.columns}
+    mark = "_"
+    while any(f"{mark}{n}".lower() in mine for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a stored() frame that nothing reads any more."""
     spark = df.sparkSession

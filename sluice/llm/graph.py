@@ -1,13 +1,19 @@
-"""Connected components over an edge table, by alternating large-star and small-star steps."""
+"""Groups of linked rows: connected components over an edge table, and links among rows that share a bucket."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import discard, stored
 
 
+#: Keys that are broadcast at most when shared buckets are looked up; beyond, it is a shuffled join.
+BROADCAST_KEYS = 500_000
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -21,17 +27,22 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, name: str = "edges") -> DataFrame:
-    """(id, component) for every node of edges (a, b: long); component is the smallest id reachable.
+def components(edges: DataFrame, name: str = "edges", rounds: int | None = None) -> DataFrame:
+    """(id, component) for every node of edges (a, b: long); component is the smallest id reachable, or, if the given number of
+    rounds is not enough, one that is reachable.
 
     Each round is two shuffles of the edges; the number of rounds grows with the logarithm of the longest path.
     Nothing but two sums a round reaches the driver. Self loops and repeated edges are allowed; no edges, no rows.
     """
     nodes = edges.where("a = b").select(F.col("a").alias("id"), F.col("a").alias("component"))
     e = stored(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")), name)
-    mark = None
-    while True:
-        new = stored(_small_star(_large_star(e)), name)
+    mark, done = None, 0
+    while done != rounds:
+        new, done = stored(_small_star(_large_star(e)), name), done + 1
+        if rounds:
+            discard(e)
+            e = new
+            continue
         now = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         discard(e)
         e = new
@@ -41,3 +52,44 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     stars = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
     heads = e.select(F.col("v").alias("id"), F.col("v").alias("component"))
     return stars.unionByName(heads).unionByName(nodes).groupBy("id").agg(F.min("component").alias("component"))
+
+
+def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """(id, component), stored, of every item that is linked to another one.
+
+    keyed: (id long, key long, size int), a row for each bucket of an item, cheap to compute twice. verify: takes stored
+    candidate pairs (a, b) of ids, a < b, and returns the links among them, stored. Pairs with sizes that rule out `similarity`
+    are no candidates; nothing else is left out.
+
+    Inside a bucket not all pairs are looked at: each item is compared with its bucket's leader first, and then only pairs from
+    different groups are, of which one is outside the bucket's largest group. The groups are those of all links, as a pair that
+    is left out has both sides in one group. Keys are counted by partial aggregates, so a frequent key is no one task's load."""
+    shared = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), f"{name}-keys")
+    few = shared.count() <= BROADCAST_KEYS  # one long each
+    buckets = stored(keyed.join(F.broadcast(shared) if few else shared.hint("shuffle_hash"), "key"), f"{name}-buckets")
+    discard(shared)
+
+    def close(a: str, b: str) -> Column:
+        return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity) - F.lit(1e-9)
+
+    leaders = buckets.groupBy("key").agg(F.min("id").alias("a"), F.min_by("size", "id").alias("size_a"))
+    stars = buckets.join(leaders, "key").where((F.col("a") != F.col("id")) & close("size_a", "size"))
+    tried = stored(stars.select("a", F.col("id").alias("b")).distinct(), f"{name}-pairs")
+    first = verify(tried)
+    groups = stored(components(first, name, rounds=2), f"{name}-groups")  # what these don't join is only compared once more
+    b = buckets.join(groups.withColumnRenamed("component", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
+    b = stored(b.select("key", "id", "size", "g"), f"{name}-buckets")
+    sizes = b.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "top")
+    split = b.join(most, "key")
+    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "size", "g")))
+    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "size", "g")))
+    once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close("size_x", "size_y"))
+    met = met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = stored(met, f"{name}-pairs")
+    second = verify(rest)
+    out = stored(components(first.unionByName(second), name), f"{name}-groups")
+    for old in (buckets, b, tried, rest, first, second, groups):
+        discard(old)
+    return out

@@ -33,8 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import discard, stored
-from sluice.llm.graph import components
+from sluice.llm.common import discard, hidden, stored
+from sluice.llm.graph import bucket_groups, components
 
 #: Shingles that are hashed and counted at a time, which bounds memory for very long texts.
 CHUNK = 1 << 18
@@ -142,36 +142,6 @@ def near_groups(
     return out
 
 
-def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """(id, component) of every item that is linked to another one; near_groups() for keys that say nothing of distances.
-
-    keyed: (id long, key long, size int), a row for each bucket of an item. verify: takes candidate pairs (a, b) of ids and
-    returns the links among them. Pairs with sizes that rule out `similarity` are no candidates; nothing else is left out."""
-    shared = keyed.selectExpr("id", "key", "size", "count(1) over (partition by key) as n", "min(struct(id, size)) over (partition by key) as a").where("n > 1")
-    buckets = stored(shared.select("key", "id", "size", "a"), f"{name}-buckets")
-
-    def close(a: str, b: str) -> Column:
-        return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity) - F.lit(1e-9)
-
-    stars = buckets.where((F.col("a.id") != F.col("id")) & close("a.size", "size"))
-    first = stored(verify(stars.select(F.col("a.id").alias("a"), F.col("id").alias("b")).distinct()), f"{name}-stars")
-    groups = components(first, name)
-    b = buckets.select("key", "id", "size").join(groups.withColumnRenamed("component", "g"), "id", "left")
-    b = stored(b.withColumn("g", F.coalesce("g", "id")), f"{name}-groups")
-    discard(buckets)
-    sizes = b.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "top")
-    split = b.join(most, "key")
-    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "size", "g")))
-    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "size", "g")))
-    once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close("size_x", "size_y"))
-    second = stored(verify(met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()), f"{name}-rest")
-    out = components(first.unionByName(second), name) if second.take(1) else groups
-    discard(b)
-    return out
-
-
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3, blocks: int = 6, seed: int = 42) -> DataFrame:
     """(id_col, fingerprint long, component_id): the smallest id reachable over links, for each row of df; all links are found.
 
@@ -233,35 +203,44 @@ def _similar_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFra
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, agree: int = 4, tables: int = 20) -> DataFrame:
     """The rows of df without those that another row of their group stands for: the one with the smallest id stays; of rows
-    that share this id, the ones with the smallest 64-bit hash of id and text (rows equal in both: one of them).
+    that share this id, the ones with the smallest 64-bit hash of id and text (rows equal in both: one of them). Null ids are
+    larger than all others. Texts without words are copies of each other.
 
     Links are pairs whose sets of five-word shingles have a Jaccard similarity of at least 0.8, by exact count. Pairs to count
     share a MinHash bucket: 1 - (1 - 0.8**4)**20 = 0.99997 of those at 0.8 do, and more above."""
-    names = df.columns
-    keyed = df.withColumn("_row", F.struct(F.col(id_col).isNull(), F.coalesce(F.col(id_col), F.lit(0)), F.xxhash64(id_col, text_col)))
+    row = hidden(df, "row")[0]
+    keyed = df.withColumn(row, F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("i"), F.xxhash64(id_col, text_col).alias("h")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(x.as_py(), shingle) for x in b.column(1)]
             ids = pa.array([_signed(xxhash.xxh64_intdigest(h.tobytes())) for h in sets], type=pa.int64())
             keys = pa.array([minhash_keys(h, agree, tables) for h in sets], type=pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], type=pa.int32()), keys], names=["_row", "id", "size", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], type=pa.int32()), keys], names=["row", "id", "size", "keys"])
 
-    row = keyed.schema["_row"].dataType.simpleString()
-    sets = stored(keyed.select("_row", text_col).mapInArrow(run, f"_row {row}, id long, size int, keys array<long>"), "shingles")
-    least = stored(sets.groupBy("id").agg(F.min("_row").alias("_row"), F.min("size").alias("size"), F.min("keys").alias("keys")), "least")
+    kind = keyed.schema[row].dataType.simpleString()
+    rows = keyed.select(F.col(row).alias("row"), F.col(text_col).alias("t"))
+    sets = stored(rows.mapInArrow(run, f"row {kind}, id long, size int, keys array<long>"), "shingles")
+    least = stored(sets.groupBy("id").agg(F.min("row").alias("row"), F.min("size").alias("size"), F.min("keys").alias("keys")), "least")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs.select("a", "b"), "copy-pairs")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        found = keyed.select("_row", F.col(text_col).alias("t")).join(least.join(ids, "id").select("id", "_row"), "_row").select("id", "t").dropDuplicates(["id"])
+        found = rows.join(least.select("id", "row").join(ids, "id"), "row").select("id", "t").dropDuplicates(["id"])
         texts = stored(found, "copy-texts")
         both = pairs.join(texts.withColumnsRenamed({"id": "a", "t": "ta"}), "a").join(texts.withColumnsRenamed({"id": "b", "t": "tb"}), "b")
-        return _similar_pairs(both, shingle, similarity)
+        links = stored(_similar_pairs(both, shingle, similarity), "copy-links")
+        discard(texts)
+        return links
 
     found = bucket_groups(least.select("id", F.explode("keys").alias("key"), "size"), similarity, verify, "copies")
-    one = least.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min("_row").alias("_row")).select("_row")
-    kept = keyed.join(one, "_row", "left_semi")
-    twice = sets.groupBy("_row").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_row")
-    again = kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
-    return kept.join(twice, "_row", "left_anti").unionByName(again).select(*names)
+    # Rows that stay are those of their group's first set and place; of rows equal in id and text one, hence the drop of repeats.
+    one = least.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min("row").alias("row")).select("row")
+    one = stored(one, "copies-kept")
+    twice = stored(sets.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row").join(one, "row"), "copies-twice")
+    for old in (sets, least, found):
+        discard(old)
+    kept = keyed.join(one.withColumnRenamed("row", row), row, "left_semi")
+    if twice.take(1):
+        again = kept.join(twice.withColumnRenamed("row", row), row, "left_semi").dropDuplicates([row])
+        kept = kept.join(twice.withColumnRenamed("row", row), row, "left_anti").unionByName(again)
+    return kept.select(*(F.col(f"`{c}`") for c in df.columns))
