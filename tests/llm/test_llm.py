@@ -422,7 +422,10 @@ def test_encoder_equals_the_library():
     e, rnd = packing.Encoder(BPE, 1), random.Random(1)
     bits = ["a", "The", "é", " ", "  ", "\n", "\n\n", "\t", ".", ",", "'s", "'", "!", "1", "23", "_", "-", ")", "(", " ", "<|endoftext|>", "日本", "́", "x.y", "\x01", "…", "½"]
     texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 9))) for _ in range(5000)]
-    assert [np.frombuffer(x, "<u2").tolist() for x in e(texts)] == [x.ids + [1] for x in e.tok.encode_batch(texts, add_special_tokens=False)]
+    texts += [" " * 300_000, "x" * 300_000, "\n" * 70_000 + "a" + " " * 1_100_000, "été 12 " * 200_000, ""]
+    assert e.quick is not None and sum(len(x) >= packing._LONG_TEXT for x in texts) == 2
+    assert [e(x).tolist() for x in texts] == [x.ids + [1] for x in e.tok.encode_batch(texts, add_special_tokens=False)]
+    assert packing.ranked(public_tokenizers.path("word_bpe_49k.json")) is None
 
 
 @pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(tokens=64, segments=3, loss_tokens=40)])
