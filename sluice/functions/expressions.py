@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+import unicodedata
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Accented letters and what they become.
-ACCENTED = "áàâäãéèêëíìîïóòôöõúùûüñç"
-PLAIN = "aaaaaeeeeiiiiooooouuuunc"
+#: Latin letters that are no base letter with marks, and how they are written without them.
+SPELLED = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d", "đ": "d", "ħ": "h", "ı": "i", "ł": "l", "ø": "o", "ŧ": "t"}
+
+
+def _base_letters() -> dict[str, str]:
+    """The small Latin letters with marks, and the ASCII letter that each is made from: by Unicode's own decompositions."""
+    bases = ((chr(k), unicodedata.normalize("NFD", chr(k))[0]) for k in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)))
+    return {c: b for c, b in bases if c != b and b.isascii() and c == c.lower()}
+
+
+BASES = _base_letters()
+ACCENTED, PLAIN = "".join(BASES), "".join(BASES.values())
+#: Combining marks, which stand by themselves in decomposed texts.
+_MARKS = r"[\\u0300-\\u036F]"
 
 
 def strip_accents(c: Column) -> Column:
-    """UDF01: lower case without accents; null becomes the empty string."""
-    return F.coalesce(F.translate(F.lower(c), ACCENTED, PLAIN), F.lit(""))
+    """UDF01: lower case, Latin letters without accents or spelled in ASCII; null becomes the empty string."""
+    out = F.translate(F.regexp_replace(F.lower(c), r"[\u0300-\u036F]", ""), ACCENTED, PLAIN)
+    for letter, spelled in SPELLED.items():
+        out = F.replace(out, F.lit(letter), F.lit(spelled))
+    return F.coalesce(out, F.lit(""))
 
 
 def ascii_only(c: Column) -> Column:
@@ -22,7 +38,10 @@ def ascii_only(c: Column) -> Column:
 
 def register_sql_functions(spark: SparkSession) -> None:
     """strip_accents(text) and ascii_only(text) for SQL texts, as SQL functions: they are inlined into the plan."""
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION strip_accents(s STRING) RETURNS STRING RETURN coalesce(translate(lower(s), '{ACCENTED}', '{PLAIN}'), '')")
+    plain = f"translate(regexp_replace(lower(s), '{_MARKS}', ''), '{ACCENTED}', '{PLAIN}')"
+    for letter, spelled in SPELLED.items():
+        plain = f"replace({plain}, '{letter}', '{spelled}')"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION strip_accents(s STRING) RETURNS STRING RETURN coalesce({plain}, '')")
     spark.sql(r"CREATE OR REPLACE TEMPORARY FUNCTION ascii_only(s STRING) RETURNS STRING RETURN regexp_replace(s, '[^\\x00-\\x7F]', '')")
 
 
@@ -72,3 +91,36 @@ def hash_share(c: Column, parts: int = 1000) -> Column:
 def parse_vector(c: Column) -> Column:
     """PRJ13: "[1.0,2.0]" as an array of doubles; what is no number becomes null."""
     return F.transform(F.split(F.regexp_replace(c, r"[\[\]\s]", ""), ","), lambda x: x.try_cast("double"))
+
+
+def range_bounds(df: DataFrame, cols: list[str], ranges: int = 64, sampled: int = 20_000) -> list[tuple]:
+    """Up to ranges - 1 tuples of cols that cut df, ordered by cols, into parts of about one size. They come from the rows whose
+    hash of cols is small, about `sampled` of them, so that the driver gets as many whatever the size of df."""
+    n = df.count()
+    share = F.pmod(F.xxhash64(*cols), F.lit(1_000_000_007)) < int(min(1.0, sampled / max(n, 1)) * 1_000_000_007)
+    rows = sorted({tuple(r) for r in df.where(share).select(*cols).collect() if None not in tuple(r)})
+    return sorted({rows[len(rows) * k // ranges] for k in range(1, ranges)}) if rows else []
+
+
+def range_part(cols: list[str], bounds: list[tuple]) -> Column:
+    """The number of bounds at or below the row, as literals: the same for a row wherever it is evaluated. Nulls come first."""
+
+    def below(bound: tuple) -> Column:
+        out = F.lit(False)
+        for c, v in reversed(list(zip(cols, bound, strict=True))):
+            out = F.col(c).isNull() | (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & out)
+        return out
+
+    def tree(lo: int, hi: int) -> Column:
+        mid = (lo + hi) // 2
+        return F.lit(lo) if lo == hi else F.when(below(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(bounds))
+
+
+def clear_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names for inside use that df, in whatever case, does not have."""
+    mine, mark = {c.lower() for c in df.columns}, "_"
+    while any(f"{mark}{n}".lower() in mine for n in names):
+        mark += "_"
+    return [f"{mark}{n}" for n in names]

@@ -57,9 +57,9 @@ def stability_totals(report: DataFrame, by: list[str]) -> DataFrame:
     return report.groupBy(*by, "variable").agg(F.sum("psi").alias("total_psi"))
 
 
-def quality_table(df: DataFrame, variables: list[str], by: list[str], percents: tuple[int, ...] = PERCENTS, accuracy: int | None = None) -> DataFrame:
-    """DR04, AG09: count, missing, deviation, mean, min, percentiles, max per variable. Exact percentiles, or with an accuracy
-    the approximate ones, whose state is bounded."""
+def quality_table(df: DataFrame, variables: list[str], by: list[str], percents: tuple[int, ...] = PERCENTS, accuracy: int | None = 10_000) -> DataFrame:
+    """DR04, AG09: count, missing, deviation, mean, min, percentiles, max per variable. Percentiles are approximate, with bounded
+    state; exact ones, for accuracy None, hold a count of every distinct value."""
     values = df.select(*by, F.inline(F.array(*(F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("x")) for v in variables))))
     shares = F.array(*(F.lit(p / 100) for p in percents))
     cut = F.percentile("x", shares) if accuracy is None else F.percentile_approx("x", shares, accuracy)
@@ -122,3 +122,8 @@ def retrain_flag(drift: DataFrame, performance: DataFrame) -> DataFrame:
     """DR08: one row: drift_detected of any variable, degraded, and whether to retrain. performance: one row with degraded."""
     one = drift.agg(F.max("drift_detected").alias("drift_detected"))
     return one.join(performance.select("degraded")).select("drift_detected", "degraded", (F.col("drift_detected") | F.col("degraded")).alias("retrain"))
+
+
+def ordered_report(bins: DataFrame, by: list[str], order: str) -> DataFrame:
+    """ST04: a report of bins in order, with each row's place in its part. A report has a row per bin, so one sort holds it."""
+    return bins.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(order))).orderBy(*by, order)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluice.functions.expressions import ordered_case
+from sluice.functions.expressions import clear_names, hash_share, ordered_case
 
 #: name -> seconds, and the row counts that "frame='rows'" takes in their place.
 WINDOWS = {"7d": (7 * 86_400, 10_080), "24h": (86_400, 1_440), "1h": (3_600, 60)}
@@ -20,8 +20,9 @@ def transaction_features(tx: DataFrame, customer: str, merchant: str, amount: st
     """FE01, WN01-WN05: rolling count, sum, mean and deviation per customer, z-score, calendar flags, amount class, days since
     the first transaction, the customer's mean, and the merchant's label rate and count.
 
-    All customer windows share one exchange and one sort; merchants need another. frame "time" has ranges of seconds, both ends
-    in; "rows" counts rows by (ts, tx_id)."""
+    All customer windows share one exchange and one sort. A merchant may have any share of the rows, so its figures are an aggregate,
+    combined before its shuffle, and joined back. frame "time" has ranges of seconds, both ends in; "rows" counts rows by
+    (ts, tx_id). Means are sums over counts: exact for decimal amounts."""
     seconds = F.col(ts).cast("timestamp").cast("long")
     by_time = Window.partitionBy(customer).orderBy(seconds)
     by_row = Window.partitionBy(customer).orderBy(F.col(ts), F.col(tx_id))
@@ -29,13 +30,15 @@ def transaction_features(tx: DataFrame, customer: str, merchant: str, amount: st
     x = F.col(amount)
     for name, (width, rows) in WINDOWS.items():
         w = by_time.rangeBetween(-width, 0) if frame == "time" else by_row.rowsBetween(-rows, 0)
-        cols |= {f"count_{name}": F.count(x).over(w), f"sum_{name}": F.sum(x).over(w), f"avg_{name}": F.avg(x).over(w), f"std_{name}": F.stddev(x).over(w)}
-    own, shop = Window.partitionBy(customer), Window.partitionBy(merchant)
-    cols |= {"customer_avg": F.avg(x).over(own), "days_since_first": F.datediff(F.col(ts), F.min(ts).over(own))}
-    n, s = F.count(F.lit(1)).over(shop), F.sum(label).over(shop)
-    cols |= {"merchant_rate": F.try_divide(s - F.col(label), n - 1) if leave_one_out else s / n, "merchant_count": n}
-    out = tx.withColumns(cols)
-    z = F.when(F.col("std_7d") > 0, (x - F.col("avg_7d")) / F.col("std_7d")).otherwise(0.0)
+        cols |= {f"count_{name}": F.count(x).over(w), f"sum_{name}": F.sum(x).over(w), f"avg_{name}": F.try_divide(F.sum(x).over(w).cast("double"), F.count(x).over(w)), f"std_{name}": F.stddev(x).over(w)}
+    own = Window.partitionBy(customer)
+    cols |= {"customer_avg": F.try_divide(F.sum(x).over(own).cast("double"), F.count(x).over(own)), "days_since_first": F.datediff(F.col(ts), F.min(ts).over(own))}
+    shop, labels = clear_names(tx, "shop", "labels")
+    shops = tx.groupBy(F.col(merchant).alias(shop)).agg(F.count(F.lit(1)).alias("merchant_count"), F.sum(label).alias(labels))
+    out = tx.withColumns(cols).join(shops, F.col(merchant).eqNullSafe(F.col(shop)))
+    n, s = F.col("merchant_count"), F.col(labels)
+    out = out.withColumn("merchant_rate", F.try_divide(s - F.col(label), n - 1) if leave_one_out else s / n).drop(shop, labels)
+    z = F.when(F.col("std_7d") > 0, (x.cast("double") - F.col("avg_7d")) / F.col("std_7d")).otherwise(0.0)
     return out.withColumns({"z_score": z, "hour": F.hour(ts), "day_of_week": F.dayofweek(ts), "is_weekend": F.dayofweek(ts).isin(1, 7).cast("int"), "amount_class": ordered_case(x, AMOUNTS, "very_large")})
 
 
@@ -100,8 +103,8 @@ _FUNCTIONS: dict[str, Callable[[Column], Column]] = {"mean": F.avg, "sum": F.sum
 
 
 def window_aggregates(rows: DataFrame, keys: list[str], variables: list[str], windows: list[int], functions: tuple[str, ...] = ("mean", "sum", "min", "max", "std")) -> DataFrame:
-    """FE07: columns <function>_<variable>_<w>m over the last w months (months_back < w), all in one aggregate."""
-    aggs = [_FUNCTIONS[f](F.when(F.col("months_back") < w, F.col(v))).alias(f"{f}_{v}_{w}m") for v in variables for w in windows for f in functions]
+    """FE07: columns <function>_<variable>_<w>m over the months 1 .. w before the vintage, all in one aggregate."""
+    aggs = [_FUNCTIONS[f](F.when(F.col("months_back").between(1, w), F.col(v))).alias(f"{f}_{v}_{w}m") for v in variables for w in windows for f in functions]
     return rows.groupBy(*keys).agg(*aggs)
 
 
@@ -111,10 +114,12 @@ def window_ratios(df: DataFrame, variables: list[str], windows: list[int], funct
     return df.withColumns({f"ratio_{v}_{a}m_{b}m": F.try_divide(F.col(f"{function}_{v}_{a}m"), F.col(f"{function}_{v}_{b}m")) for v in variables for a, b in pairs})
 
 
-def fill_missing(df: DataFrame, methods: dict[str, tuple[str, float]], keys: list[str]) -> DataFrame:
+def fill_missing(df: DataFrame, methods: dict[str, tuple[str, float]], keys: list[str], exact: bool = False) -> DataFrame:
     """FE09: variable -> (method, constant). Methods: constant, or mean, median, mode of the group, then of all, then the
-    constant. Statistics are aggregates joined back, so no group is held in one window."""
-    stats = {"mean": F.avg, "median": lambda c: F.percentile(c, 0.5), "mode": F.mode}
+    constant. Statistics are aggregates joined back, so no group is held in one window. Median and mode are approximate, from
+    sketches of bounded size, unless exact ones are asked for, whose state grows with the distinct values."""
+    frequent = lambda c: F.get(F.approx_top_k(c, 1, 10_000), 0)["item"]
+    stats = {"mean": F.avg, "median": (lambda c: F.percentile(c, 0.5)) if exact else (lambda c: F.percentile_approx(c, 0.5, 10_000)), "mode": F.mode if exact else frequent}
     asked = {v: m for v, (m, _) in methods.items() if m != "constant"}
     if asked:
         df = df.join(df.groupBy(*keys).agg(*(stats[m](F.col(v)).alias(f"_g_{v}") for v, m in asked.items())), keys, "left")
@@ -163,19 +168,27 @@ def rank_in_group(df: DataFrame, group: str, by: list[Column], name: str = "rank
 
 def hash_split(df: DataFrame, key: str, test_share: float = 0.2) -> DataFrame:
     """PRJ16: is_test by the md5 of the key: the same rows on every run."""
-    from sluice.functions.expressions import hash_share
-
     return df.withColumn("is_test", hash_share(F.col(key)) < int(test_share * 1000))
 
 
 def hash_sample(df: DataFrame, key: str, share: float) -> DataFrame:
-    """PRJ14: a sample that is the same on every run."""
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
+    """PRJ14: a sample by the md5 of the key, the same on every run; shares in thousandths."""
+    return df.where(hash_share(F.col(key)) < int(share * 1000))
 
 
 def rebalance(df: DataFrame, label: str, key: str, most: float = 10.0, to: float = 5.0) -> DataFrame:
-    """PRJ15: with more than `most` zeros for a one, zeros are thinned by hash to about `to`. One aggregate decides."""
+    """PRJ15: with more than `most` zeros for a one, zeros are thinned by the md5 of the key to about `to`, in thousandths of them. One aggregate decides."""
     n = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
     share = F.when(F.col("n") > most * F.col("p"), to * F.col("p") / F.col("n")).otherwise(1.0)
     out = df.join(F.broadcast(n.select(share.alias("_share"))))
-    return out.where((F.col(label) == 1) | (F.pmod(F.xxhash64(key), F.lit(1_000_000)) < F.col("_share") * 1_000_000)).drop("_share")
+    return out.where((F.col(label) == 1) | (hash_share(F.col(key)) < F.floor(F.col("_share") * 1000))).drop("_share")
+
+
+def surrogate_id(df: DataFrame, name: str) -> DataFrame:
+    """PRJ17: numbers that no two rows share. They depend on how the rows are scanned: write them before they are used twice."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def distinct_sorted(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """AG08: the group's distinct values as a sorted array; as large as a group has distinct values."""
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_set(value)).alias(name))

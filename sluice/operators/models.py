@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluice.functions.expressions import safe_ratio
+from sluice.functions.expressions import range_bounds, range_part, safe_ratio
 
 
 def encode(df: DataFrame, columns: list[str]) -> tuple[DataFrame, PipelineModel]:
@@ -95,13 +95,14 @@ def auc(predictions: DataFrame, label: str, value: str) -> DataFrame:
     """ML06: one row: the area under the ROC curve, ties counted half.
 
     Rows are first counted by value, so only distinct values are ordered; their running sums are in two steps, within ranges of
-    values and over ranges, so that no task sees all of them."""
-    g = predictions.groupBy(F.col(value).alias("_value")).agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-    parts = g.repartitionByRange("_value").withColumn("_part", F.spark_partition_id())
-    offsets = parts.groupBy("_part").agg(F.sum("_neg").alias("_s"))
+    values and over ranges, so that no task sees all of them. The ranges' bounds are literals."""
+    named = predictions.select(F.col(label).alias("_label"), F.col(value).alias("_value"))
+    part = range_part(["_value"], range_bounds(named.select("_value").distinct(), ["_value"]))
+    g = named.groupBy("_value").agg(F.count_if(F.col("_label") == 1).alias("_pos"), F.count_if(F.col("_label") == 0).alias("_neg")).withColumn("_part", part)
+    offsets = g.groupBy("_part").agg(F.sum("_neg").alias("_s"))
     before = F.broadcast(offsets.select("_part", (F.sum("_s").over(Window.orderBy("_part")) - F.col("_s")).alias("_before")))
     local = F.sum("_neg").over(Window.partitionBy("_part").orderBy("_value")) - F.col("_neg")
-    below = parts.withColumn("_local", local).join(before, "_part").withColumn("_below", F.col("_before") + F.col("_local"))
+    below = g.withColumn("_local", local).join(before, "_part").withColumn("_below", F.col("_before") + F.col("_local"))
     return below.agg(F.try_divide(F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)), F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"))
 
 

@@ -23,35 +23,36 @@ _W = "PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL {} PREC
 
 
 @query(f"""
-WITH t AS (SELECT l_orderkey, o_custkey, l_suppkey, l_extendedprice AS x, o_orderdate, (l_returnflag = 'R')::INT AS label FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
+WITH t AS (SELECT l_orderkey, o_custkey, l_suppkey, l_extendedprice::DECIMAL(12, 2) AS x, o_orderdate, (l_returnflag = 'R')::INT AS label FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
 f AS (SELECT *,
-  count(x) OVER ({_W.format("7 DAYS")}) AS c7, sum(x) OVER ({_W.format("7 DAYS")}) AS s7, avg(x) OVER ({_W.format("7 DAYS")}) AS a7, stddev(x) OVER ({_W.format("7 DAYS")}) AS d7,
-  count(x) OVER ({_W.format("1 DAY")}) AS c1, avg(x) OVER (PARTITION BY o_custkey) AS ca, min(o_orderdate) OVER (PARTITION BY o_custkey) AS first,
+  count(x) OVER ({_W.format("7 DAYS")}) AS c7, sum(x) OVER ({_W.format("7 DAYS")}) AS s7, sum(x) OVER ({_W.format("7 DAYS")})::DOUBLE / count(x) OVER ({_W.format("7 DAYS")}) AS a7, stddev(x::DOUBLE) OVER ({_W.format("7 DAYS")}) AS d7,
+  count(x) OVER ({_W.format("1 DAY")}) AS c1, sum(x) OVER (PARTITION BY o_custkey)::DOUBLE / count(x) OVER (PARTITION BY o_custkey) AS ca, min(o_orderdate) OVER (PARTITION BY o_custkey) AS first,
   avg(label) OVER (PARTITION BY l_suppkey) AS mr, count(*) OVER (PARTITION BY l_suppkey) AS mc FROM t)
-SELECT l_orderkey, o_custkey, l_suppkey, round(x, 4) AS amount, c7 AS count_7d, round(s7, 2) AS sum_7d, round(a7 + 0.00003, 3) AS avg_7d, c1 AS count_24h, round(ca + 0.00003, 3) AS customer_avg,
+SELECT l_orderkey, o_custkey, l_suppkey, x::DOUBLE AS amount, c7 AS count_7d, s7::DOUBLE AS sum_7d, a7 AS avg_7d, c1 AS count_24h, ca AS customer_avg,
   date_diff('day', first, o_orderdate) AS days_since_first, round(mr, 4) AS merchant_rate, mc AS merchant_count, dayofweek(o_orderdate) + 1 AS day_of_week, (dayofweek(o_orderdate) IN (0, 6))::BIGINT AS is_weekend,
   CASE WHEN x < 50 THEN 'small' WHEN x < 500 THEN 'medium' WHEN x < 2000 THEN 'large' ELSE 'very_large' END AS amount_class,
-  round(CASE WHEN d7 > 0 THEN (x - a7) / d7 ELSE 0 END, 3) + 0.0 AS z_score
+  round(CASE WHEN d7 > 0 THEN (x::DOUBLE - a7) / d7 ELSE 0 END, 3) + 0.0 AS z_score
 FROM f
 """)
 def fe_transaction_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FE01, WN02-WN05, PRJ04, JN01"""
-    f = FE.transaction_features(transactions(spark, sf_dir), "o_custkey", "l_suppkey", "l_extendedprice", "o_orderdate", "l_orderkey", "label")
+    tx = transactions(spark, sf_dir).withColumn("l_extendedprice", F.col("l_extendedprice").cast("decimal(12, 2)"))  # sums are exact
+    f = FE.transaction_features(tx, "o_custkey", "l_suppkey", "l_extendedprice", "o_orderdate", "l_orderkey", "label")
     return f.select(
-        "l_orderkey", "o_custkey", "l_suppkey", F.round("l_extendedprice", 4).alias("amount"), "count_7d", F.round("sum_7d", 2).alias("sum_7d"), F.round(F.col("avg_7d") + 0.00003, 3).alias("avg_7d"), "count_24h", F.round(F.col("customer_avg") + 0.00003, 3).alias("customer_avg"),
+        "l_orderkey", "o_custkey", "l_suppkey", F.col("l_extendedprice").cast("double").alias("amount"), "count_7d", F.col("sum_7d").cast("double").alias("sum_7d"), "avg_7d", "count_24h", "customer_avg",
         F.col("days_since_first").cast("long").alias("days_since_first"), F.round("merchant_rate", 4).alias("merchant_rate"), "merchant_count", F.col("day_of_week").cast("long").alias("day_of_week"), F.col("is_weekend").cast("long").alias("is_weekend"), "amount_class", (F.round("z_score", 3) + F.lit(0.0)).alias("z_score"),
     )
 
 
 @query("""
-SELECT o_orderkey, count(o_totalprice) OVER w AS count_1h, round(sum(o_totalprice) OVER w, 2) AS sum_1h, round(avg(o_totalprice) OVER w + 0.00003, 3) AS avg_1h FROM orders
+SELECT o_orderkey, count(o_totalprice) OVER w AS count_1h, (sum(o_totalprice::DECIMAL(12, 2)) OVER w)::DOUBLE AS sum_1h, (sum(o_totalprice::DECIMAL(12, 2)) OVER w)::DOUBLE / count(o_totalprice) OVER w AS avg_1h FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 60 PRECEDING AND CURRENT ROW)
 """)
 def wn_row_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WN01"""
-    o = table(spark, sf_dir, "orders").withColumn("label", F.lit(0))
+    o = table(spark, sf_dir, "orders").withColumns({"label": F.lit(0), "o_totalprice": F.col("o_totalprice").cast("decimal(12, 2)")})
     f = FE.transaction_features(o, "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate", "o_orderkey", "label", frame="rows")
-    return f.select("o_orderkey", "count_1h", F.round("sum_1h", 2).alias("sum_1h"), F.round(F.col("avg_1h") + 0.00003, 3).alias("avg_1h"))
+    return f.select("o_orderkey", "count_1h", F.col("sum_1h").cast("double").alias("sum_1h"), "avg_1h")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
@@ -75,10 +76,14 @@ def src_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r4(table(spark, sf_dir, "orders").join(F.broadcast(codes), "o_orderpriority", "left").groupBy("o_orderpriority", "code").agg(F.count(F.lit(1)).alias("n")))
 
 
-@query()
+@query("""WITH r AS (SELECT c_custkey AS customer_id, unnest(range(1, 11)) AS k FROM customer), f AS (SELECT *, ((('0x' || substr(md5('fraud:' || customer_id || ':' || k), 1, 12))::BIGINT % 10000) < 200)::BIGINT AS is_fraud FROM r)
+SELECT 'txn_' || customer_id || '_' || k AS transaction_id, customer_id, 'm_' || (('0x' || substr(md5('merchant:' || customer_id || ':' || k), 1, 12))::BIGINT % 1000) AS merchant_id,
+  round(CASE WHEN is_fraud = 1 THEN 1000 + (('0x' || substr(md5('amount:' || customer_id || ':' || k), 1, 12))::BIGINT % 900001) / 100 ELSE 5 + (('0x' || substr(md5('amount:' || customer_id || ':' || k), 1, 12))::BIGINT % 49501) / 100 END, 2) AS amount,
+  CASE WHEN is_fraud = 1 THEN ['online', 'atm'][1 + (('0x' || substr(md5('kind:' || customer_id || ':' || k), 1, 12))::BIGINT % 1073741824) % 2] ELSE ['grocery', 'gas', 'restaurant', 'retail', 'online', 'atm'][1 + (('0x' || substr(md5('kind:' || customer_id || ':' || k), 1, 12))::BIGINT % 1073741824) % 6] END AS merchant_category, is_fraud FROM f""")
 def src_synthetic_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC09"""
-    return T.synthetic_transactions(table(spark, sf_dir, "customer"), "c_custkey")
+    out = T.synthetic_transactions(table(spark, sf_dir, "customer"), "c_custkey")
+    return out.withColumn("is_fraud", F.col("is_fraud").cast("long"))
 
 
 @query("SELECT p_partkey::VARCHAR AS key, try_cast(p_size AS INT)::BIGINT AS size, try_cast(p_retailprice AS DOUBLE) AS price, try_cast(p_name AS INT)::BIGINT AS bad, 1::BIGINT AS rejected FROM part")
@@ -116,17 +121,21 @@ def prj_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0.2)
 
 
-@query()
+_SHARE = "(('0x' || substr(md5(o_orderkey::VARCHAR), 1, 16))::UBIGINT::HUGEINT % 1000 * 616 + ('0x' || substr(md5(o_orderkey::VARCHAR), 17, 16))::UBIGINT::HUGEINT) % 1000"
+
+
+@query(f"SELECT o_orderkey FROM orders WHERE {_SHARE} < 100")
 def prj_hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ14"""
     return FE.hash_sample(table(spark, sf_dir, "orders"), "o_orderkey", 0.1).select("o_orderkey")
 
 
-@query()
+@query(f"""WITH o AS (SELECT o_orderkey, (o_totalprice > 480000)::BIGINT AS label FROM orders), n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM o)
+SELECT o_orderkey, label FROM o, n WHERE label = 1 OR {_SHARE} < floor(CASE WHEN n > 10 * p THEN 5.0::DOUBLE * p / n ELSE 1.0 END * 1000)""")
 def prj_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ15"""
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") > 480_000).cast("int").alias("label"))
-    return FE.rebalance(o, "label", "o_orderkey")
+    return r4(FE.rebalance(o, "label", "o_orderkey"))
 
 
 @query("SELECT l_orderkey, l_partkey, coalesce(nullif(l_returnflag, 'N'), 'CNA') AS flag, coalesce(CASE WHEN l_tax > 0.02 THEN round(l_tax, 4) END, 0) AS tax FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND nullif(l_discount, 0) IS NOT NULL")
@@ -145,7 +154,12 @@ def se_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.union_all([a, b]).distinct()
 
 
-@query("SELECT conv_id, turn, translate(lower(role), 'áàâäãéèêëíìîïóòôöõúùûüñç', 'aaaaaeeeeiiiiooooouuuunc') AS role, coalesce(translate(lower(text), 'áàâäãéèêëíìîïóòôöõúùûüñç', 'aaaaaeeeeiiiiooooouuuunc'), '') AS plain, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS ascii FROM conversations")
+_PLAIN = "strip_accents(lower({}))"
+for _letter, _spelled in X.SPELLED.items():
+    _PLAIN = f"replace({_PLAIN}, '{_letter}', '{_spelled}')"
+
+
+@query(f"SELECT conv_id, turn, {_PLAIN.format('role')} AS role, coalesce({_PLAIN.format('text')}, '') AS plain, regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS ascii FROM conversations")
 def udf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UDF01, UDF02: as SQL functions"""
     X.register_sql_functions(spark)
@@ -224,13 +238,13 @@ def jn_cohort_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", F.col("vintage").cast("string").alias("vintage"), F.col("months_back").cast("long").alias("months_back"), F.round("x", 2).alias("x"))
 
 
-@query(_COHORT + """SELECT k, vintage::VARCHAR AS vintage, round(avg(x) FILTER (months_back < 4), 3) AS mean_x_4m, round(sum(x) FILTER (months_back < 4), 2) AS sum_x_4m, round(avg(x) FILTER (months_back < 13), 3) AS mean_x_13m, round(sum(x) FILTER (months_back < 13), 2) AS sum_x_13m,
-  round((avg(x) FILTER (months_back < 4)) / nullif(avg(x) FILTER (months_back < 13), 0), 4) AS ratio_x_4m_13m FROM j GROUP BY k, vintage""")
+@query(_COHORT + """SELECT k, vintage::VARCHAR AS vintage, round(avg(x) FILTER (months_back BETWEEN 1 AND 3), 3) AS mean_x_3m, round(sum(x) FILTER (months_back BETWEEN 1 AND 3), 2) AS sum_x_3m, round(avg(x) FILTER (months_back BETWEEN 1 AND 12), 3) AS mean_x_12m, round(sum(x) FILTER (months_back BETWEEN 1 AND 12), 2) AS sum_x_12m,
+  round((avg(x) FILTER (months_back BETWEEN 1 AND 3)) / nullif(avg(x) FILTER (months_back BETWEEN 1 AND 12), 0), 4) AS ratio_x_3m_12m FROM j GROUP BY k, vintage""")
 def fe_window_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FE07, FE08"""
     rows = FE.cohort_history(_cohort(spark, sf_dir), _history(spark, sf_dir), "k", "vintage", "snapshot", 12, lag=1)
-    out = FE.window_ratios(FE.window_aggregates(rows, ["k", "vintage"], ["x"], [4, 13], ("mean", "sum")), ["x"], [4, 13])
-    digits = {"mean_x_4m": 3, "mean_x_13m": 3, "sum_x_4m": 2, "sum_x_13m": 2, "ratio_x_4m_13m": 4}
+    out = FE.window_ratios(FE.window_aggregates(rows, ["k", "vintage"], ["x"], [3, 12], ("mean", "sum")), ["x"], [3, 12])
+    digits = {"mean_x_3m": 3, "mean_x_12m": 3, "sum_x_3m": 2, "sum_x_12m": 2, "ratio_x_3m_12m": 4}
     return out.select("k", F.col("vintage").cast("string").alias("vintage"), *(F.round(c, d).alias(c) for c, d in digits.items()))
 
 

@@ -37,10 +37,10 @@ def lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def synthetic_transactions(customers: DataFrame, id_col: str, per_customer: int = 10, fraud_share: float = 0.02) -> DataFrame:
-    """SRC09: transactions for each customer, from hashes of the ids: the same on every run and any number of executors.
+    """SRC09: transactions for each customer, from the md5 of the ids: the same on every run and any number of executors.
 
     (transaction_id, customer_id, merchant_id, amount, merchant_category, is_fraud); frauds cost 1000 to 10000."""
-    u = lambda salt, n: F.pmod(F.xxhash64("customer_id", "k", F.lit(salt)), F.lit(n))
+    u = lambda salt, n: F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(salt), "customer_id", "k")), 1, 12), 16, 10).cast("long") % F.lit(n)
     rows = customers.select(F.col(id_col).alias("customer_id"), F.explode(F.sequence(F.lit(1), F.lit(per_customer))).alias("k"))
     rows = rows.withColumn("is_fraud", (u("fraud", 10_000) < int(fraud_share * 10_000)).cast("int"))
     amount = F.when(F.col("is_fraud") == 1, 1000 + u("amount", 900_001) / 100).otherwise(5 + u("amount", 49_501) / 100)
@@ -69,12 +69,16 @@ def write_table(df: DataFrame, name: str, mode: str = "error", fmt: str = "parqu
 
 def overwrite_partitions(df: DataFrame, target: str, partition_by: list[str]) -> None:
     """SNK03: replaces exactly the partitions that df has rows for; a name with a dot or without a slash is a table."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if "/" in target:
-        writer.format("parquet").partitionBy(*partition_by).save(target)
-    else:
-        columns = df.sparkSession.table(target).columns
-        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(target)
+        return
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"  # insertInto takes it from the session alone
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
+    finally:
+        spark.conf.set(key, before)
 
 
 def create_partitioned_table(spark: SparkSession, name: str, columns: list[tuple[str, str]], partition_by: list[tuple[str, str]], fmt: str = "parquet") -> None:
