@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,8 +23,11 @@ def words(text: Column) -> Column:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; a temporary one only where none is set (tests, local mode)."""
+    """The shared folder that spark.checkpoint.dir names. Where that is unset, a temporary one on a single machine, as in tests;
+    on a cluster an error, as executors don't share such a folder."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not where and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not where:
         where = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", where)

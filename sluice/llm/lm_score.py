@@ -5,15 +5,16 @@ pieces of an existing vocabulary, single bytes included, so every text has one;
 but doesn't reach into the next. The probability of a word is the sum over its segmentations, by forward recursion in log
 space; that of a text is the product over its words and the end, as no piece crosses words.
 
-Weights start from the vocabulary's own scores and are fitted by expectation-maximisation (forward-backward) over all words
-of the training texts with their counts. A word's lattice also has an arc for the whole word, weighted by the word's share
-of the training tokens; the mixing weights are chosen on leave-one-out counts, so that a word seen once counts as unseen.
-Where training rows have classes, such as languages, each has weights of its own and a text's probability is the sum over
-classes, weighted by their shares of the training rows; a scored text's own class is not read.
+The vocabulary's own scores weight the pieces; by default one round of expectation-maximisation (forward-backward) adjusts
+them to the training words that were seen once, which are what words not seen at all look like. A word's lattice also has an
+arc for the whole word, weighted by the word's share of the training tokens; the mixing weights are chosen on leave-one-out
+counts, so that a word seen once counts as unseen. Where training rows have classes, such as languages, each has shares of
+its own and a text's probability is the sum over classes, weighted by their shares of the training rows; a scored text's own
+class is not read. The README has the held-out figures with and without each of these.
 
 Shape: each distinct word is handled once, whatever its count. Word counts, expected piece counts and the words of each
 block are shuffled; a block of documents gets back its distinct words with counts and log probabilities. What goes to the
-driver is bounded by the vocabulary.
+driver is bounded by the vocabulary and the number of classes.
 
 Defined cases: null and empty texts are the end alone; repeated rows count as often as they occur; an empty training set
 leaves the vocabulary's own weights; an empty table gives no rows; extra columns are not read.
@@ -171,19 +172,17 @@ def _lattice(path: str) -> tuple[Lattice, int]:
     return Lattice(names), len(names)
 
 
-def tokens(text: str | None) -> list[str]:
-    """A-Z lower-cased words, by ASCII white space only."""
-    return [w.decode() for w in (text or "").encode().lower().split()]
+def tokens(text: str | None) -> list[bytes]:
+    """A-Z lower-cased words, by ASCII white space only, and the end."""
+    return [*(text or "").encode().lower().split(), END.encode()]
 
 
-def classes(df: DataFrame, trains: Column, class_col: str | None, most: int = 8) -> list[tuple[object, int]]:
-    """(value, training rows) of the largest classes, at most `most`, and (None, the rest) if there is one."""
+def classes(df: DataFrame, trains: Column, class_col: str | None) -> list[tuple[object, int]]:
+    """(value, training rows) of each class; null is one like any other. Their number is taken to be small, as of languages."""
     if class_col is None:
         return [(None, df.where(trains).count())]
-    rows = df.where(trains).groupBy(class_col).count().orderBy(F.desc("count"), class_col).limit(most).collect()
-    found = [(r[0], r["count"]) for r in rows if r[0] is not None]
-    rest = df.where(trains).count() - sum(n for _, n in found)
-    return [*found, (None, rest)] if rest or not found else found
+    found = [(r[0], r[1]) for r in df.where(trains).groupBy(class_col).count().orderBy(F.desc("count"), class_col).collect()]
+    return found or [(None, 0)]
 
 
 def token_counts(df: DataFrame, text_col: str, trains: Column, class_of: Column, n_classes: int) -> DataFrame:
@@ -196,53 +195,44 @@ def token_counts(df: DataFrame, text_col: str, trains: Column, class_of: Column,
                 b = batch.slice(at, 10_000)
                 every, train = set(), [Counter() for _ in names]
                 for text, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    w = [*tokens(text), END]
+                    w = tokens(text)
                     if k < 0:
                         every.update(w)
                     else:
                         train[k].update(w)
                 words = list(every.union(*train))
-                yield pa.RecordBatch.from_arrays([pa.array(words, type=pa.string()), *(pa.array([c[w] for w in words], type=pa.int64()) for c in train)], names=["word", *names])
+                yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in words], type=pa.string()), *(pa.array([c[w] for w in words], type=pa.int64()) for c in train)], names=["word", *names])
 
     found = df.select(F.col(text_col).alias("t"), F.when(trains, class_of).otherwise(-1).alias("k"))
     found = found.mapInArrow(run, "word string, " + ", ".join(f"{x} long" for x in names)).groupBy("word").agg(*(F.sum(x).alias(x) for x in names))
     return found.select("word", sum((F.col(x) for x in names), F.lit(0)).alias("c"), *names)
 
 
-def fit_pieces(counts: DataFrame, model_path: str, ends: list[int], rounds: int = 2, smooth: float = 0.1, pooled: float = 2000.0) -> tuple[np.ndarray, np.ndarray]:
-    """(log probability of each piece by class, of the end by class), natural logarithms: EM from the vocabulary's weights.
-
-    ends: training rows of each class. Each class's counts are smoothed by `pooled` uses dealt as in all classes together."""
+def fit_pieces(counts: DataFrame, model_path: str, rounds: int = 1, strength: float = 0.05) -> np.ndarray:
+    """Natural logarithms of the pieces' weights: the vocabulary's own, then EM over the words of counts (word, c) with c = 1. The
+    vocabulary's weights stay in as `strength` uses for each use found, and one for each piece."""
     names, prior = vocabulary(model_path)
-    k_all = len(ends)
-    logp, log_end = np.tile(np.log(prior * 0.999), (k_all, 1)), np.full(k_all, np.log(0.001))
-    train = counts.where((F.col("c") > 0) & (F.col("word") != END))
+    logp = np.log(prior)
+    once = counts.where((F.col("c") == 1) & (F.col("word") != END)).select("word")
     for _ in range(rounds):
         given = logp
 
         def run(batches: Iterator[pa.RecordBatch], given: np.ndarray = given) -> Iterator[pa.RecordBatch]:
             lattice, n = _lattice(model_path)
-            into = np.zeros((k_all, n))
+            into = np.zeros(n)
             for b in _gathered(batches):
-                words, c = b.column(0).to_pylist(), np.stack([b.column(2 + k).to_numpy() for k in range(k_all)]).astype(float)
-                for k in range(k_all):
-                    used = np.flatnonzero(c[k])
-                    for places, group in by_length([words[i] for i in used]):
-                        lattice.expected(group, c[k][used[places]], given[k], into[k])
-            at = np.nonzero(into)
-            yield pa.RecordBatch.from_arrays([pa.array(at[0], type=pa.int64()), pa.array(at[1], type=pa.int64()), pa.array(into[at])], names=["class", "piece", "uses"])
-
-        # One row per class, piece and task; classes and vocabulary bound what is collected.
-        uses = np.zeros((k_all, len(names)))
-        for r in train.mapInArrow(run, "class long, piece long, uses double").groupBy("class", "piece").agg(F.sum("uses").alias("uses")).collect():
-            uses[r["class"], r["piece"]] = r["uses"]
-        every = uses.sum(axis=0) + prior * smooth * len(prior)
-        total = every.sum() + sum(ends) + smooth
-        found = uses + pooled * every / total
-        end = np.array(ends) + pooled * (sum(ends) + smooth) / total
-        both = found.sum(axis=1) + end
-        logp, log_end = np.log(found / both[:, None]), np.log(end / both)
-    return logp, log_end
+                for places, group in by_length(b.column(0).to_pylist()):
+                    lattice.expected(group, np.ones(len(places)), given, into)
+            at = np.flatnonzero(into)
+            yield pa.RecordBatch.from_arrays([pa.array(at, type=pa.int64()), pa.array(into[at])], names=["piece", "uses"])
+
+        # One row per piece: the vocabulary bounds what is collected.
+        uses = np.zeros(len(names))
+        for r in once.mapInArrow(run, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+            uses[r["piece"]] = r["uses"]
+        uses += prior * (strength * uses.sum() + len(prior))
+        logp = np.log(uses / uses.sum())
+    return logp
 
 
 #: Candidates for the weights of the whole-word arcs: by the class's counts, by all counts.
@@ -256,7 +246,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     class_col: str | None = None,
-    rounds: int = 2,
+    rounds: int = 1,
     block_bytes: int = 24_000_000,
 ) -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens long, base_score, score double): log10 probabilities of whole texts, base_score
@@ -267,28 +257,30 @@ def score(
     n_blocks = max(1, -(-size // block_bytes))
     found = classes(df, trains, class_col)
     k_all = len(found)
-    class_of = F.lit(k_all - 1)
-    for k, (value, _) in enumerate(found[:-1] if found[-1][0] is None else found):
+    class_of = F.lit(0)
+    for k, (value, _) in enumerate(found[1:], 1):
         class_of = F.when(F.col(class_col).eqNullSafe(F.lit(value)), k).otherwise(class_of)
     counts = stored(token_counts(df, text_col, trains, class_of, k_all), "words")
     names = [f"c{k}" for k in range(k_all)]
     n, v, *of = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), *(F.coalesce(F.sum(x), F.lit(0)) for x in names)).first()
-    logp, log_end = fit_pieces(counts, model_path, [m for _, m in found], rounds)
-    prior = np.log((np.array([m for _, m in found], dtype=float) + 0.5) / (sum(m for _, m in found) + 0.5 * k_all))
+    logp = fit_pieces(counts, model_path, rounds)
+    rows_all = sum(m for _, m in found)
+    log_end = float(np.log((rows_all + 1.0) / (n + 2.0)))
+    prior = np.log((np.array([m for _, m in found], dtype=float) + 0.5) / (rows_all + 0.5 * k_all))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, _ = _lattice(model_path)
         for b in _gathered(batches):
             words = b.column(0).to_pylist()
-            out = np.tile(log_end[:, None], (1, len(words)))
+            out = np.full(len(words), log_end)
             real = np.array([k for k, w in enumerate(words) if w != END], dtype=np.int64)
             for places, group in by_length([words[k] for k in real]):
-                a, _ = lattice.forward(group, logp)
-                out[:, real[places]] = a[:, -1]
-            more = pa.table([*b.columns, *(pa.array(x.astype(np.float32)) for x in out)], names=["word", "c", *names, *(f"l{k}" for k in range(k_all))])
+                a, _ = lattice.forward(group, logp[None])
+                out[real[places]] = a[0, -1] + np.log1p(-np.exp(log_end))
+            more = pa.table([*b.columns, pa.array(out.astype(np.float32))], names=["word", "c", *names, "l"])
             yield from more.to_batches(max_chunksize=10_000)
 
-    cols = ", ".join([f"{x} long" for x in ("c", *names)] + [f"l{k} float" for k in range(k_all)])
+    cols = ", ".join([f"{x} long" for x in ("c", *names)] + ["l float"])
     words = stored(counts.mapInArrow(weigh, f"word string, {cols}"), "word-scores")
     discard(counts)
 
@@ -296,7 +288,7 @@ def score(
         """ln of a word's probability in class k, with `less` of its occurrences left out."""
         share = lambda x, total: F.greatest(F.col(x) - less, F.lit(0)) / F.lit(float(max(1, total - less)))
         whole = F.lit(arcs[0]) * share(f"c{k}", of[k]) + F.lit(arcs[1]) * share("c", n)
-        rest = F.col(f"l{k}") + F.lit(float(np.log1p(-sum(arcs))))
+        rest = F.col("l") + F.lit(float(np.log1p(-sum(arcs))))
         return F.when(whole > 0, F.greatest(F.log(whole), rest) + F.log1p(F.exp(-F.abs(F.log(whole) - rest)))).otherwise(rest)
 
     # Weights of the whole-word arcs: what fits leave-one-out counts best, in one pass with a column for each candidate.
@@ -309,12 +301,12 @@ def score(
     got = need.join(scored, "word")
 
     def finish(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        place = dict(zip(found["word"], range(len(found)), strict=True))
+        place = dict(zip(map(str.encode, found["word"]), range(len(found)), strict=True))
         c, lp = found["c"].to_numpy(), found[[f"p{k}" for k in range(k_all)]].to_numpy(dtype=float)
         base = np.log10((c + 1.0) / (n + 1.0 * (v + 1)))
         out = []
         for text in docs["text"]:
-            w = np.fromiter(map(place.__getitem__, [*tokens(text), END]), dtype=np.int64)
+            w = np.fromiter(map(place.__getitem__, tokens(text)), dtype=np.int64)
             each = prior + lp[w].sum(axis=0)
             out.append((len(w), int((c[w] > 0).sum()), n, float(base[w].sum()), float(np.logaddexp.reduce(each)) / _LOG10))
         res = pd.DataFrame(out, columns=["n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -327,8 +319,8 @@ def score(
 
 def _distinct(t: pa.Table) -> pa.Table:
     """The distinct tokens of one block."""
-    found = {END}
+    found = {END.encode()}
     for x in t.column("text").to_pylist():
         found.update(tokens(x))
     block = t.column("block")[0].as_py()
-    return pa.table({"block": pa.array(np.full(len(found), block, dtype=np.int32)), "word": pa.array(list(found), type=pa.string())})
+    return pa.table({"block": pa.array(np.full(len(found), block, dtype=np.int32)), "word": pa.array([x.decode() for x in found], type=pa.string())})
