@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from sluice.llm.common import discard, stored
 
 
-#: Keys that are broadcast at most when shared buckets are looked up; beyond, it is a shuffled join.
-BROADCAST_KEYS = 500_000
+#: Rows outside a bucket's largest group from which on the bucket is dealt anew, where the caller says how.
+CROWDED = 64
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -54,7 +54,9 @@ def components(edges: DataFrame, name: str = "edges", rounds: int | None = None)
     return stars.unionByName(heads).unionByName(nodes).groupBy("id").agg(F.min("component").alias("component"))
 
 
-def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def bucket_groups(
+    keyed: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], name: str, deal_anew: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """(id, component), stored, of every item that is linked to another one.
 
     keyed: (id long, key long, size int), a row for each bucket of an item, cheap to compute twice. verify: takes stored
@@ -63,11 +65,12 @@ def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFra
 
     Inside a bucket not all pairs are looked at: each item is compared with its bucket's leader first, and then only pairs from
     different groups are, of which one is outside the bucket's largest group. The groups are those of all links, as a pair that
-    is left out has both sides in one group. Keys are counted by partial aggregates, so a frequent key is no one task's load."""
-    shared = stored(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), f"{name}-keys")
-    few = shared.count() <= BROADCAST_KEYS  # one long each
-    buckets = stored(keyed.join(F.broadcast(shared) if few else shared.hint("shuffle_hash"), "key"), f"{name}-buckets")
-    discard(shared)
+    is left out has both sides in one group. Keys are counted by partial aggregates, so a frequent key is no one task's load.
+
+    deal_anew: takes ids (id) and returns other buckets of theirs (id, key, size). It replaces buckets in which many rows are
+    outside the largest group: strangers who have something frequent in common, whose pairs would be their number squared."""
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    buckets = stored(keyed.join(shared.hint("shuffle_hash"), "key"), f"{name}-buckets")
 
     def close(a: str, b: str) -> Column:
         return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity) - F.lit(1e-9)
@@ -77,10 +80,30 @@ def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFra
     tried = stored(stars.select("a", F.col("id").alias("b")).distinct(), f"{name}-pairs")
     first = verify(tried)
     groups = stored(components(first, name, rounds=2), f"{name}-groups")  # what these don't join is only compared once more
-    b = buckets.join(groups.withColumnRenamed("component", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
-    b = stored(b.select("key", "id", "size", "g"), f"{name}-buckets")
-    sizes = b.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "top")
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        g = rows.join(groups.withColumnRenamed("component", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
+        return stored(g.select("key", "id", "size", "g"), f"{name}-buckets")
+
+    def parted(rows: DataFrame) -> DataFrame:
+        """(key, top, others) of buckets with several groups: the largest, and how many rows are outside it."""
+        sizes = rows.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
+        found = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
+        return stored(found, f"{name}-parted")
+
+    b = grouped(buckets)
+    most = parted(b)
+    left = [b, most]
+    if deal_anew:
+        crowd = b.join(most.where(F.col("others") > CROWDED).select("key"), "key", "left_semi").select("id").distinct()
+        crowd = stored(crowd, f"{name}-crowd")
+        left.append(crowd)
+        if crowd.take(1):
+            most = most.where(F.col("others") <= CROWDED)
+            new = grouped(deal_anew(crowd))
+            more = parted(new)
+            left += [new, more]
+            b, most = b.unionByName(new), most.unionByName(more)
     split = b.join(most, "key")
     x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "size", "g")))
     y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "size", "g")))
@@ -90,6 +113,6 @@ def bucket_groups(keyed: DataFrame, similarity: float, verify: Callable[[DataFra
     rest = stored(met, f"{name}-pairs")
     second = verify(rest)
     out = stored(components(first.unionByName(second), name), f"{name}-groups")
-    for old in (buckets, b, tried, rest, first, second, groups):
+    for old in (buckets, *left, tried, rest, first, second, groups):
         discard(old)
     return out
