@@ -54,36 +54,46 @@ def components(edges: DataFrame, name: str = "edges", rounds: int | None = None)
     return stars.unionByName(heads).unionByName(nodes).groupBy("id").agg(F.min("component").alias("component"))
 
 
+#: Whether two rows of a bucket may be linked: over (a, b), which take the name of a carried column to that of either row.
+Close = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+
+def sizes_allow(similarity: float) -> Close:
+    """For rows that carry a size: the smaller one is at least `similarity` of the larger one."""
+    return lambda a, b: F.least(a("size"), b("size")) >= F.greatest(a("size"), b("size")) * F.lit(similarity) - F.lit(1e-9)
+
+
 def bucket_groups(
-    keyed: DataFrame, similarity: float, verify: Callable[[DataFrame], DataFrame], name: str, deal_anew: Callable[[DataFrame], DataFrame] | None = None
+    keyed: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, close: Close, carry: tuple[str, ...] = ("size",), deal_anew: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
     """(id, component), stored, of every item that is linked to another one.
 
-    keyed: (id long, key long, size int), a row for each bucket of an item, cheap to compute twice. verify: takes stored
-    candidate pairs (a, b) of ids, a < b, and returns the links among them, stored. Pairs with sizes that rule out `similarity`
-    are no candidates; nothing else is left out.
+    keyed: (id long, key long, carry...), a row for each bucket of an item, cheap to compute twice. Pairs that share a bucket and
+    are `close` by what their rows carry are candidates. verify: takes stored candidates (a, b), a < b, and returns the links
+    among them, stored.
 
     Inside a bucket not all pairs are looked at: each item is compared with its bucket's leader first, and then only pairs from
     different groups are, of which one is outside the bucket's largest group. The groups are those of all links, as a pair that
     is left out has both sides in one group. Keys are counted by partial aggregates, so a frequent key is no one task's load.
 
-    deal_anew: takes ids (id) and returns other buckets of theirs (id, key, size). It replaces buckets in which many rows are
+    deal_anew: takes ids (id) and returns other buckets of theirs (id, key, carry...). It replaces buckets in which many rows are
     outside the largest group: strangers who have something frequent in common, whose pairs would be their number squared."""
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     buckets = stored(keyed.join(shared.hint("shuffle_hash"), "key"), f"{name}-buckets")
 
-    def close(a: str, b: str) -> Column:
-        return F.least(a, b) >= F.greatest(a, b) * F.lit(similarity) - F.lit(1e-9)
+    def side(mark: str) -> Callable[[str], Column]:
+        return lambda c: F.col(f"{c}{mark}")
 
-    leaders = buckets.groupBy("key").agg(F.min("id").alias("a"), F.min_by("size", "id").alias("size_a"))
-    stars = buckets.join(leaders, "key").where((F.col("a") != F.col("id")) & close("size_a", "size"))
+    leaders = buckets.groupBy("key").agg(F.min("id").alias("a"), F.min_by(F.struct(*carry), "id").alias("s"))
+    leaders = leaders.select("key", "a", *(F.col(f"s.{c}").alias(f"{c}_a") for c in carry))
+    stars = buckets.join(leaders, "key").where((F.col("a") != F.col("id")) & close(side("_a"), side("")))
     tried = stored(stars.select("a", F.col("id").alias("b")).distinct(), f"{name}-pairs")
     first = verify(tried)
     groups = stored(components(first, name, rounds=2), f"{name}-groups")  # what these don't join is only compared once more
 
     def grouped(rows: DataFrame) -> DataFrame:
         g = rows.join(groups.withColumnRenamed("component", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
-        return stored(g.select("key", "id", "size", "g"), f"{name}-buckets")
+        return stored(g.select("key", "id", *carry, "g"), f"{name}-buckets")
 
     def parted(rows: DataFrame) -> DataFrame:
         """(key, top, others) of buckets with several groups: the largest, and how many rows are outside it."""
@@ -105,10 +115,10 @@ def bucket_groups(
             left += [new, more]
             b, most = b.unionByName(new), most.unionByName(more)
     split = b.join(most, "key")
-    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "size", "g")))
-    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "size", "g")))
+    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", *carry, "g")))
+    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", *carry, "g")))
     once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close("size_x", "size_y"))
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close(side("_x"), side("_y")))
     met = met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = stored(met, f"{name}-pairs")
     second = verify(rest)

@@ -1,30 +1,29 @@
 """SimHash near-duplicates: fingerprints, pivot distance tables, and connected groups.
 
-A fingerprint has 64 bits, or a multiple; two rows are linked where theirs differ in at most max_distance bits, and a group
-is what links connect. Equal fingerprints are one node from the start, so copies never meet pair by pair.
+A fingerprint has 64 bits; two rows are linked where theirs differ in at most max_distance bits, and a group is what links
+connect. Equal fingerprints are one node from the start, so copies never meet pair by pair.
 
-The pivot table holds each fingerprint's Hamming distances to fixed reference fingerprints. By the triangle inequality two
-fingerprints whose distances to any pivot differ by more than max_distance are not linked; what survives is verified by the
-exact distance. Pivot distances alone can't say which pairs to look at (a coordinate of random fingerprints has a standard
-deviation of 4 in 64 bits, so one pivot lets through almost half of all pairs), so pairs come from buckets:
-
-- block_keys(): the 64 bits are cut into blocks, and fingerprints within max_distance agree in all bits of some
-  `blocks - max_distance` blocks. No link is lost.
+The pivot table holds each fingerprint's Hamming distances to fixed reference fingerprints, eight to a number. By the triangle
+inequality two fingerprints whose distances to any pivot differ by more than max_distance are not linked: such pairs are
+discarded by the pivot table alone, and the survivors are verified by the exact distance. Pivot distances can't say which
+pairs to look at (a coordinate of random fingerprints has a standard deviation of 4 in 64 bits, so one pivot lets through
+almost half of all pairs), so pairs come from buckets: the 64 bits are cut into blocks, and fingerprints within max_distance
+agree in all bits of some `blocks - max_distance` blocks. No link is lost.
 
 keep_one() has no fingerprints: near-copies by the Jaccard similarity of their shingles meet in MinHash buckets, and each pair
 is settled by the exact similarity.
 
-Inside a bucket not all pairs are looked at. First each fingerprint is compared with its bucket's leader; then only pairs
-from different groups are, and of these only those of which one side is outside the bucket's largest group. Groups are the
-same as those of all links: a pair that is left out has both sides in one group already.
+Inside a bucket not all pairs are looked at; see graph.bucket_groups().
 
-Defined cases: null and empty texts have fingerprint zero, linked like any other; repeated rows are copies; an empty table
-gives no rows; other columns are not read.
+Defined cases: null and empty texts have fingerprint zero, linked like any other; a null id is larger than all others, and a
+group of null ids alone has a null component; repeated rows are copies; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -34,112 +33,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import discard, hidden, stored
-from sluice.llm.graph import bucket_groups, components
+from sluice.llm.graph import bucket_groups, sizes_allow
 
 #: Shingles that are hashed and counted at a time, which bounds memory for very long texts.
 CHUNK = 1 << 18
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, width: int = 1) -> list[int]:
-    """The SimHash of the word shingles of a text, A-Z lower-cased, as `width` signed 64-bit numbers."""
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    """The SimHash of the word shingles of a text, A-Z lower-cased, as a signed number."""
     w = (text or "").encode().lower().split()  # bytes: ASCII only, in both
     if not w:
-        return [0] * width
+        return 0
     n = max(1, len(w) - shingle + 1)
-    ones = np.zeros((width, 64), dtype=np.int64)
+    ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, CHUNK):
         part = w[at : at + CHUNK + shingle - 1]
         grams = zip(*(part[k:] for k in range(shingle)), strict=False) if len(w) >= shingle else [w]
         h = np.fromiter((xxhash.xxh64_intdigest(g, seed) for g in map(b" ".join, grams)), dtype=np.uint64)
-        for k in range(width):
-            x = h
-            if k:  # more bits of the same shingle, by a finishing mix of its hash
-                x = (h + np.uint64((0x9E3779B97F4A7C15 * k) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-                x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-                x ^= x >> np.uint64(32)
-            ones[k] += np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > n, axis=1).view(">i8").ravel().tolist()
+        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n).view(">i8")[0])
 
 
-def with_fingerprints(df: DataFrame, text_col: str = "text", shingle: int = 3, seed: int = 42, width: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(keep..., fingerprint array<long>) for each row of df."""
+def with_fingerprints(df: DataFrame, id_col: str, text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
+    """(id_col, fingerprint long) for each row of df."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = pa.array([fingerprint(x.as_py(), shingle, seed, width) for x in b.column(b.num_columns - 1)], type=pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], fp], names=[*keep, "fingerprint"])
+            fp = pa.array([fingerprint(x.as_py(), shingle, seed) for x in b.column(1)], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), fp], names=[id_col, "fingerprint"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return df.select(*keep, F.col(text_col)).mapInArrow(run, f"{fields}{', ' if keep else ''}fingerprint array<long>")
+    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, fingerprint long")
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def pivots(n: int, width: int, seed: int = 7) -> list[list[int]]:
+def pivots(n: int, seed: int = 7) -> list[int]:
     """Reference fingerprints: hashes of numbers."""
-    return [[_signed(xxhash.xxh64_intdigest(f"{k}:{j}", seed)) for j in range(width)] for k in range(n)]
+    return [_signed(xxhash.xxh64_intdigest(str(k), seed)) for k in range(n)]
 
 
 def block_keys(fp: Column, blocks: int, agree: int) -> Column:
-    """For fingerprints of 64 bits: one hash for each choice of `agree` blocks, of the choice and the bits in them."""
+    """One hash for each choice of `agree` blocks, of the choice and the bits in them."""
     edges = [round(64 * k / blocks) for k in range(blocks + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     choices = [sum(masks[k] for k in c) for c in combinations(range(blocks), agree)]
-    return F.array(*(F.xxhash64(F.lit(k), F.get(fp, 0).bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(choices)))
-
-
-def _apart(a: str, b: str, width: int) -> Column:
-    return sum((F.bit_count(F.get(F.col(a), k).bitwiseXOR(F.get(F.col(b), k))) for k in range(1, width)), F.bit_count(F.get(F.col(a), 0).bitwiseXOR(F.get(F.col(b), 0))))
-
-
-def near_groups(
-    items: DataFrame,
-    keys: Column,
-    max_distance: int,
-    width: int = 1,
-    verify: Callable[[DataFrame], DataFrame] | None = None,
-    n_pivots: int = 16,
-    name: str = "near",
-) -> DataFrame:
-    """(id, component) of every item that is linked to another one.
-
-    items: (id long, fp array<long> of `width`), ids distinct; keys: over fp, an array of bucket keys. verify: takes candidate
-    pairs (a, b) of ids and returns those that are links besides; without it, all pairs within max_distance are."""
-    refs = pivots(n_pivots, width)
-    # Only keys and ids of all items are shuffled; the fingerprints follow where a key is shared, which few are.
-    keyed = items.select("id", F.explode(keys).alias("key"))
-    shared = keyed.selectExpr("id", "key", "count(1) over (partition by key) as n", "min(id) over (partition by key) as a").where("n > 1").select("key", "id", "a")
-    to_pivot = [sum((F.bit_count(F.get("fp", k).bitwiseXOR(F.lit(p[k]))) for k in range(1, width)), F.bit_count(F.get("fp", 0).bitwiseXOR(F.lit(p[0])))).cast("short") for p in refs]
-    buckets = stored(shared.join(items, "id").withColumn("pivot", F.array(*to_pivot)), f"{name}-buckets")
-    leaders = buckets.where("id = a").select("key", F.col("fp").alias("fa"), F.col("pivot").alias("pivot_a")).distinct()
-
-    def close(a: str, b: str) -> Column:
-        return F.greatest(*(F.abs(F.get(F.col(f"pivot{a}"), k) - F.get(F.col(f"pivot{b}"), k)) for k in range(n_pivots))) <= max_distance
-
-    def links(pairs: DataFrame) -> DataFrame:
-        return verify(pairs) if verify else pairs.select("a", "b")
-
-    stars = buckets.where("a <> id").withColumnsRenamed({"fp": "fb", "pivot": "pivot_b"}).join(leaders, "key").where(close("_a", "_b") & (_apart("fa", "fb", width) <= max_distance))
-    first = stored(links(stars.select("a", F.col("id").alias("b")).distinct()), f"{name}-stars")
-    groups = components(first, name)
-    # From here on, only what the leaders have not joined.
-    b = buckets.select("key", "id", "fp", "pivot").join(groups.withColumnRenamed("component", "g"), "id", "left")
-    b = stored(b.withColumn("g", F.coalesce("g", "id")), f"{name}-groups")
-    sizes = b.groupBy("key", "g").agg(F.count(F.lit(1)).alias("n"))
-    most = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "top")
-    split = b.join(most, "key")
-    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", "fp", "pivot", "g")))
-    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", "fp", "pivot", "g")))
-    once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close("_x", "_y") & (_apart("fp_x", "fp_y", width) <= max_distance))
-    rest = links(met.select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct())
-    second = stored(rest, f"{name}-rest")
-    out = components(first.unionByName(second), name) if second.take(1) else groups
-    for old in (buckets, b):
-        discard(old)
-    return out
+    return F.array(*(F.xxhash64(F.lit(k), fp.bitwiseAND(F.lit(_signed(m)))) for k, m in enumerate(choices)))
+
+
+def _apart(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def pivot_table(fp: Column, n_pivots: int) -> list[Column]:
+    """Distances to the pivots, eight to a number, named p0, p1, ..."""
+    far = [F.bit_count(fp.bitwiseXOR(F.lit(p))).cast("long") for p in pivots(n_pivots)]
+    return [reduce(lambda x, y: x.bitwiseOR(y), (F.shiftleft(d, 8 * k) for k, d in enumerate(far[at : at + 8]))).alias(f"p{at // 8}") for at in range(0, n_pivots, 8)]
+
+
+def near_groups(items: DataFrame, max_distance: int, blocks: int = 6, n_pivots: int = 16, name: str = "near") -> DataFrame:
+    """(id, component), stored, of every item that is linked to another one. items: (id, fp: long), ids distinct."""
+    table = pivot_table(F.col("fp"), n_pivots)
+    keyed = items.select("id", F.explode(block_keys(F.col("fp"), blocks, blocks - max_distance)).alias("key"), *table)
+
+    def close(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+        """The largest difference of pivot distances is within max_distance."""
+        at = lambda x, k: F.shiftright(x(f"p{k // 8}"), 8 * (k % 8)).bitwiseAND(F.lit(255))
+        return reduce(lambda x, y: x & y, (F.abs(at(a, k) - at(b, k)) <= max_distance for k in range(n_pivots)))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(items.toDF("a", "fa"), "a").join(items.toDF("b", "fb"), "b")
+        return stored(both.where(_apart("fa", "fb") <= max_distance).select("a", "b"), f"{name}-links")
+
+    return bucket_groups(keyed, verify, name, close, tuple(f"p{k}" for k in range(-(-n_pivots // 8))))
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3, blocks: int = 6, seed: int = 42) -> DataFrame:
@@ -147,12 +114,14 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
 
     Texts are read once and never shuffled; what is shuffled is one fingerprint per row and, for each distinct fingerprint,
     one key for each choice of blocks."""
-    fps = stored(with_fingerprints(df, text_col, shingle, seed, keep=(id_col,)).select(id_col, F.get("fingerprint", 0).alias("fingerprint")), "fingerprints")
+    fps = stored(with_fingerprints(df, id_col, text_col, shingle, seed), "fingerprints")
     least = fps.groupBy("fingerprint").agg(F.min(id_col).alias("least"))
-    items = least.select(F.col("fingerprint").alias("id"), F.array("fingerprint").alias("fp"))
-    found = near_groups(items, block_keys(F.col("fp"), blocks, blocks - max_distance), max_distance)
+    items = stored(least.select(F.col("fingerprint").alias("id"), F.col("fingerprint").alias("fp")), "items")
+    found = near_groups(items, max_distance, blocks)
     nodes = stored(least.join(found.withColumnRenamed("id", "fingerprint"), "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint")), "nodes")
     heads = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
+    for old in (items, found):
+        discard(old)
     return fps.join(nodes.join(heads, "component").select("fingerprint", "component_id"), "fingerprint")
 
 
@@ -232,7 +201,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
         discard(texts)
         return links
 
-    found = bucket_groups(least.select("id", F.explode("keys").alias("key"), "size"), similarity, verify, "copies")
+    found = bucket_groups(least.select("id", F.explode("keys").alias("key"), "size"), verify, "copies", sizes_allow(similarity))
     # Rows that stay are those of their group's first set and place; of rows equal in id and text one, hence the drop of repeats.
     one = least.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min("row").alias("row")).select("row")
     one = stored(one, "copies-kept")
