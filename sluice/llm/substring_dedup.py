@@ -18,11 +18,12 @@ text and a shard a fraction of that, whatever the input. Nothing of the corpus g
 
 Defined cases: null and empty texts have no words; documents shorter than a window keep all; repeated rows have one id, so
 none of them is earlier than another; a null id counts as larger than all others; an empty table gives no rows; extra
-columns are not read. Ids are integers. Word identity in anchors is by 64-bit hash; windows are compared word by word.
+columns are not read. Ids are integers. Word identity in anchors is by 32-bit hash; windows are compared word by word.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,22 +53,23 @@ class Windows:
         self.key, self.first, self.last, self.doc = none.astype(np.uint64), none, none, none
         if m < 1:
             return
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), dtype=np.uint64, count=n)
+        h = np.fromiter(map(zlib.crc32, self.words), dtype=np.uint64, count=n)  # collisions make anchors that are not shared, no more
         doc = np.repeat(np.arange(len(split)), self.count)
         g = h[: n - gram + 1].copy()
         for j in range(1, gram):
             g = (g ^ (g >> np.uint64(29))) * _MIX[0] + h[j : n - gram + 1 + j]
         g = (g ^ (g >> np.uint64(32))) * _MIX[1]
         g ^= g >> np.uint64(31)
-        best, at = g[:m].copy(), np.arange(m)
-        for j in range(1, length - gram + 1):
-            less = g[j : j + m] < best
-            np.copyto(best, g[j : j + m], where=less)
-            at[less] = np.flatnonzero(less) + j
+        best, wide, span = g, 1, length - gram + 1
+        while 2 * wide <= span:  # the least of each `wide` neighbours
+            best, wide = np.minimum(best[:-wide], best[wide:]), 2 * wide
+        best = np.minimum(best[:m], best[span - wide : span - wide + m])
         own = np.flatnonzero(doc[:m] == doc[length - 1 :])
         if not own.size:
             return
-        new = np.r_[True, (at[own][1:] != at[own][:-1]) | (own[1:] != own[:-1] + 1)]
+        new = np.r_[True, (best[own][1:] != best[own][:-1]) | (own[1:] != own[:-1] + 1)]
+        place = np.arange(own.size)
+        new |= (place - np.maximum.accumulate(np.where(new, place, 0))) % span == 0  # where one anchor repeats, runs stay short
         begins = np.flatnonzero(new)
         self.first, self.last = own[begins], own[np.r_[begins[1:], own.size] - 1]
         self.key, self.doc = best[self.first], doc[self.first]
@@ -186,9 +188,14 @@ def cut_repeats(
                 o = ords[w.doc[run]]
                 for first, seg in _parts(w, run, is_hot, length):
                     found = mins.get(xxhash.xxh3_128_digest(seg))
-                    if found is not None:
-                        for i in np.flatnonzero(np.asarray(found) < o):
-                            gone[first + i : first + i + length] = True
+                    if found is None:
+                        continue
+                    older = found < o
+                    if older.all():
+                        gone[first : first + older.size - 1 + length] = True
+                        continue
+                    for i in np.flatnonzero(older):
+                        gone[first + i : first + i + length] = True
         ends = np.cumsum(w.count)
         out = []
         for k, e in enumerate(ends):
