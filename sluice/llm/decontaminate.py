@@ -10,7 +10,8 @@ benchmark is one shard and each text is then scanned once; a larger one takes a
 hit words of all passes are merged text by text.
 
 Defined cases: null and empty texts have no words and no hits; items without words match nothing; an empty benchmark
-contaminates nothing; repeated rows are judged each by itself; extra columns pass through.
+contaminates nothing; repeated rows are judged each by itself; extra columns pass through, whatever their names in
+drop_contaminated(); scan() refuses names that it would add.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from sluice.llm.common import stored
 
@@ -96,14 +98,17 @@ def scan(df: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: st
 
     What is broadcast at a time is one shard, whose size benchmark_shards() bounds. With one shard, the usual case, each text
     is scanned once and nothing is stored or shuffled; with more, each shard's pass writes what it found beside the rows."""
+    added = {"_n_words": "long", "_n_hit": "long", "_items": "array<string>", "_spans": "array<struct<start: long, end: long>>"}
+    if twice := {c.lower() for c in df.columns} & {"_mask", *added}:
+        raise ValueError(f"columns that scan() would add are there already: {sorted(twice)}")
     parts = benchmark_shards(benchmark, id_col, item_text_col, window, max_chars)
-    names, base = df.columns, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    names = df.columns
     at, out = names.index(text_col), df
     for k, part in enumerate(parts):
         rows = df.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in part.collect()])
         last = k == len(parts) - 1
-        more = "_n_words long, _n_hit long, _items array<string>, _spans array<struct<start: long, end: long>>" if last else "_mask binary, _items array<string>"
-        out = out.mapInArrow(_pass(rows, names, at, window, last), f"{base}, {more}")
+        more = ", ".join(f"{c} {t}" for c, t in (added if last else {"_mask": "binary", "_items": "array<string>"}).items())
+        out = out.mapInArrow(_pass(rows, names, at, window, last), StructType([*df.schema, *DataType.fromDDL(more)]))
         out = out if last else stored(out, "hits")
     return out
 
@@ -142,4 +147,5 @@ def _pass(rows: Broadcast, names: list[str], at: int, window: int, last: bool) -
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, text_col: str = "text", **options: object) -> DataFrame:
     """The rows of df in whose text no window of the benchmark occurs."""
-    return scan(df, benchmark, text_col, **options).where("_n_hit = 0").select(*df.columns)
+    own = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("own"), F.col(f"`{text_col}`").alias("text"))
+    return scan(own, benchmark, "text", **options).where("_n_hit = 0").select("own.*")

@@ -6,8 +6,8 @@ expectation-maximisation on the table of vote patterns: at most 3**rules rows, w
 patterns and their counts may go to the driver. The posterior probability of "good" decides.
 
 Defined cases: null and empty texts have no words and every statistic zero; repeated rows count as often as they occur;
-an empty table gives an empty result; statistics are named with a leading underscore, and extra columns of the input pass
-through unread.
+an empty table gives an empty result; extra columns of the input pass through keep() unread, whatever their names. score() adds
+columns beside those of the input and refuses names that it would add.
 """
 
 from __future__ import annotations
@@ -144,13 +144,22 @@ def score(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES
     The statistics are computed once and stored with df's own columns in the shared folder, only
     those in keep_cols if given; nothing is shuffled but pattern counts."""
     names = [f"_vote_{r.name}" for r in rules]
-    stats = statistics(df, text_col)
-    if keep_cols is not None:
-        stats = stats.select(*keep_cols, *(c for c in stats.columns if c not in df.columns))
+    keep_cols = df.columns if keep_cols is None else keep_cols
+    own = df.select(F.struct(*(F.col(f"`{c}`") for c in keep_cols)).alias("_own"), F.col(f"`{text_col}`").alias("_text"))
+    stats = statistics(own, "_text").drop("_text")
+    if twice := {c.lower() for c in keep_cols} & {"p_good", *names, *(c for c in stats.columns if c != "_own")}:
+        raise ValueError(f"columns that score() would add are there already: {sorted(twice)}")
+    voted, p_good = _posterior(stats, rules, rounds)
+    return voted.withColumn("p_good", p_good).select("_own.*", *(c for c in voted.columns if c != "_own"), "p_good")
+
+
+def _posterior(stats: DataFrame, rules: tuple[Rule, ...], rounds: int) -> tuple[DataFrame, Column]:
+    """stats with votes, stored, and the posterior over these."""
+    names = [f"_vote_{r.name}" for r in rules]
     voted = stored(stats.withColumns({n: vote(r) for n, r in zip(names, rules, strict=True)}), "votes")
     found = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()  # 3**rules rows at most
     model = fit_label_model([(tuple(r[n] for n in names), r["n"]) for r in found], len(rules), rounds)
-    return voted.withColumn("p_good", model.posterior([F.col(n) for n in names]))
+    return voted, model.posterior([F.col(n) for n in names])
 
 
 def base_failed() -> Column:
@@ -159,5 +168,6 @@ def base_failed() -> Column:
 
 def keep(df: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of df that pass the base limits and whose posterior is at least least; the columns stay as they are."""
-    names = df.columns
-    return score(df, text_col).where(~base_failed() & (F.col("p_good") >= least)).select(*names)
+    own = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_own"), F.col(f"`{text_col}`").alias("_text"))
+    voted, p_good = _posterior(statistics(own, "_text").drop("_text"), RULES, 50)
+    return voted.where(~base_failed() & (p_good >= least)).select("_own.*")

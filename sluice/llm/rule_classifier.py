@@ -9,7 +9,7 @@ bound); scoring covers all rows and whole texts. Statistics come from the qualit
 
 Defined cases: null and empty texts have statistics zero and get a score like any other; labelled rows without a text are
 not learned from; repeated rows count as often as they occur; without two classes among the labels every score is the share
-of ones (0.5 without labels); an empty table gives no rows; extra columns pass through.
+of ones (0.5 without labels); an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import stored
+from sluice.llm.common import hidden, stored
 from sluice.llm.quality_rules import statistics
 
 #: SQL of the features over the statistics of quality_rules.statistics().
@@ -104,7 +104,7 @@ def fit(rows: DataFrame, label_col: str, id_col: str, max_labels: int = 50_000,
     if ones in (0, n):
         share = (ones + 0.5) / (n + 1)
         return RuleModel(math.log(share / (1 - share)), [])
-    # Classes weigh the same, so that few zeros are not drowned; the intercept is set back afterwards.
+    # Classes weigh the same, so that few zeros are not drowned: scores are probabilities between classes of one size.
     weighed = rows.withColumn("weight", F.when(F.col("label") == 1, n / (2 * ones)).otherwise(n / (2 * (n - ones))))
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(weighed)
     gbt = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, weightCol="weight", stepSize=0.3).fit(vectors)
@@ -119,7 +119,8 @@ def fit(rows: DataFrame, label_col: str, id_col: str, max_labels: int = 50_000,
 def classify(df: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_labels: int = 50_000) -> DataFrame:
     """(id_col, score): the probability of label 1 for every row of df. labels: (id_col, label_col); trains: over id_col, says
     which rows are learned from."""
-    rows = features(df.select(id_col, text_col), text_col, [id_col])
-    known = rows.where(trains).join(labels.select(id_col, label_col), id_col)
+    has = hidden(df, "has_text")[0]
+    rows = features(df.select(id_col, text_col, F.col(text_col).isNotNull().alias(has)), text_col, [id_col, has])
+    known = rows.where(trains & F.col(has)).drop(has).join(labels.select(id_col, label_col), id_col)
     model = fit(known, label_col, id_col, max_labels)
     return rows.select(id_col, model.score().alias("score"))

@@ -5,11 +5,12 @@ b_0 < b_1 < ..., so a feature moves a text along one scale, and the expected sev
 
 Features are words and word beginnings (5 to 7 characters) that occur in at least `least` toxic texts and `ratio` times as
 often in toxic texts as in others, each by the share of the text's words that have it, and the share of words with any of
-them. Grades of labelled texts: 0 for those that are not toxic; toxic ones are graded by that last share, at grade_cuts.
+them. Labels say toxic or not; where they say no more, a toxic text's grade is how much of it is: the share of its sentences
+with such a word, at grade_cuts, which is none of the features.
 
 Fitting is gradient descent over at most max_labels labelled rows (a documented bound, by the smallest hashes of the id),
 whose features, not texts, go to the driver; scoring covers all rows and whole texts, in Arrow batches, with the model as a
-broadcast value of at most max_features weights.
+broadcast value. Its weights are as many as those rows have features.
 
 Defined cases: null and empty texts have no features and get the severity of the thresholds alone, which is low; labelled
 rows without a text are not learned from; without two classes among the labels nothing is flagged; repeated rows count as
@@ -32,6 +33,7 @@ from sluice.llm.common import stored
 
 #: Letters and digits of ASCII, and everything beyond ASCII.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+_SENTENCE = re.compile(r"[.!?\n]+")
 _BEGINNINGS = (5, 6, 7)
 
 
@@ -64,25 +66,27 @@ class OrdinalModel:
         x = np.sqrt(100.0 * np.fromiter(found.values(), dtype=float, count=len(found)) / n)
         return np.r_[k, len(self.place)], np.r_[x, np.sqrt(100.0 * some / n)]
 
+    def toxic_share(self, text: str | None) -> float:
+        """The share of a text's sentences with a word that has a feature."""
+        each = [s for s in map(word_counts, _SENTENCE.split(text or "")) if s]
+        return sum(any(t in self.place for w in s for t in traits(w)) for s in each) / max(1, len(each))
+
     def above(self, counts: Counter) -> np.ndarray:
         """P(grade > k) for each threshold."""
         k, x = self.features(counts)
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds - float(self.weights[k] @ x), -500, 500)))
 
 
-def fit_ordinal(place: dict[str, int], docs: list[tuple[np.ndarray, np.ndarray, int]], grade_cuts: tuple[float, ...] = (2.0, 5.0), rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> OrdinalModel:
-    """docs: (places, values, 0 or 1), places and values as OrdinalModel.features() gives them. grade_cuts: per cents of words
-    with features."""
-    k_all = len(grade_cuts) + 1
+def fit_ordinal(place: dict[str, int], docs: list[tuple[np.ndarray, np.ndarray, int]], n_grades: int = 3, rounds: int = 400, rate: float = 0.05, ridge: float = 1e-4) -> OrdinalModel:
+    """docs: (places, values, grade 0 .. n_grades), places and values as OrdinalModel.features() gives them."""
+    k_all = n_grades
     model = OrdinalModel(place, np.zeros(len(place) + 1), np.linspace(3.0, 5.0, k_all))
     y = np.array([x[2] for x in docs], dtype=np.int64)
     if y.size == 0 or y.min() == y.max():
         return model
     at = np.repeat(np.arange(len(docs)), [len(k) for k, _, _ in docs])
     where, value = np.concatenate([k for k, _, _ in docs]), np.concatenate([x for _, x, _ in docs])
-    shares = np.array([x[-1] ** 2 for _, x, _ in docs])
-    grades = y * (1 + np.searchsorted(grade_cuts, shares, side="right"))
-    over = grades[:, None] > np.arange(k_all)[None, :]
+    over = y[:, None] > np.arange(k_all)[None, :]
     # Each side of each threshold weighs the same: few texts are toxic.
     part = np.where(over, 0.5 / np.maximum(1, over.sum(axis=0)), 0.5 / np.maximum(1, (~over).sum(axis=0)))
     w, b = model.weights, model.thresholds.copy()
@@ -99,8 +103,8 @@ def fit_ordinal(place: dict[str, int], docs: list[tuple[np.ndarray, np.ndarray,
     return OrdinalModel(place, w, b)
 
 
-def choose_features(labelled: DataFrame, least: int = 4, ratio: float = 6.0, max_features: int = 4096) -> dict[str, int]:
-    """labelled: (text, y). The traits that tell, the most frequent in toxic texts first; max_features bounds what is collected."""
+def choose_features(labelled: DataFrame, least: int = 4, ratio: float = 6.0) -> dict[str, int]:
+    """labelled: (text, y). The traits that tell; labelled has a bounded number of rows."""
     n, n_toxic = labelled.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +117,7 @@ def choose_features(labelled: DataFrame, least: int = 4, ratio: float = 6.0, max
 
     counts = labelled.mapInArrow(run, "trait string, clean long, toxic long").groupBy("trait").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     told = counts.where((F.col("toxic") >= least) & (F.col("toxic") * (n - n_toxic + 1) >= ratio * (F.col("clean") + 0.5) * (n_toxic + 1)))
-    return {r["trait"]: k for k, r in enumerate(told.orderBy(F.desc("toxic"), "trait").limit(max_features).collect())}
+    return {t: k for k, t in enumerate(sorted(r["trait"] for r in told.select("trait").collect()))}
 
 
 def severity(
@@ -125,6 +129,7 @@ def severity(
     label_col: str = "toxic",
     max_labels: int = 20_000,
     flag_at: float = 0.6,
+    grade_cuts: tuple[float, ...] = (0.1, 0.3),
 ) -> DataFrame:
     """(id_col, severity double, grade int, toxic boolean) for every row of df: expected severity, the grade whose probability
     is largest, and whether P(grade > 0) is at least flag_at. trains: over id_col, says which labelled rows are learned from."""
@@ -138,10 +143,11 @@ def severity(
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             each = [bare.features(word_counts(x.as_py())) for x in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in each], type=pa.list_(pa.int64())), pa.array([x for _, x in each], type=pa.list_(pa.float64())), b.column(1)], names=["k", "x", "y"])
+            grades = [y and 1 + int(np.searchsorted(grade_cuts, bare.toxic_share(x.as_py()), side="right")) for x, y in zip(b.column(0), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in each], type=pa.list_(pa.int64())), pa.array([x for _, x in each], type=pa.list_(pa.float64())), pa.array(grades, type=pa.int32())], names=["k", "x", "y"])
 
-    rows = labelled.mapInArrow(sparse, "k array<long>, x array<double>, y int").orderBy("y", "x", "k").collect()
-    model = fit_ordinal(place, [(np.array(r["k"]), np.array(r["x"]), r["y"]) for r in rows])
+    rows = sorted(tuple(r) for r in labelled.mapInArrow(sparse, "k array<long>, x array<double>, y int").collect())
+    model = fit_ordinal(place, [(np.array(k), np.array(x), y) for k, x, y in rows], len(grade_cuts) + 1)
     shared = df.sparkSession.sparkContext.broadcast(model)
     id_type = df.schema[id_col].dataType.simpleString()
 

@@ -22,9 +22,13 @@ SCHEMA = "doc_id long, text string"
 ODD = [(1, None), (2, ""), (3, "a"), (3, "a"), (4, " \n\t "), (None, "x y z"), (5, "w " * 30_000), (6, "é ü \x0b b"), (7, "one " * 15), (8, "Same line here\nSame line here")]
 
 
+#: Names that operators use inside.
+CLASHING = "_w _l _h _p _s _q _own _text _n_words _n_lines _k1 _k2 removed _removed_ _row row _id h1 size norm own p_good _n_hit _items _spans has_text _has_text label t g".split()
+
+
 def docs(spark, rows=ODD):
     """With columns whose names clash with what operators use inside."""
-    return spark.createDataFrame(rows, SCHEMA).withColumns({"word": F.lit(1), "key": F.lit("k"), "component": F.lit(2), "n": F.lit(3), "id": F.lit(4), "block": F.lit(5)})
+    return spark.createDataFrame(rows, SCHEMA).withColumns({"word": F.lit(1), "key": F.lit("k"), "component": F.lit(2), "n": F.lit(3), "id": F.lit(4), "block": F.lit(5)} | {c: F.lit(6) for c in CLASHING})
 
 
 def random_docs(seed, n=60, words=40):
@@ -294,6 +298,44 @@ def test_scores(spark):
     assert lm_score.score(df.limit(0), public_tokenizers.path("piece_bpe_32k.model"), trains).count() == 0
 
 
+def test_score_against_brute_force(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = [(i, t) for i, t in random_docs(5, n=30, words=15)] + [(900, "Zebra crossing"), (901, None)]
+    names, prior = lm_score.vocabulary(path)
+    own = dict(zip(names, prior, strict=True))
+    longest = max(map(len, names))
+
+    def sums(raw, p):
+        a = [1.0] + [0.0] * len(raw)
+        for j in range(1, len(raw) + 1):
+            a[j] = sum(a[i] * p.get(raw[i:j], 0.0) for i in range(max(0, j - longest), j))
+        return a
+
+    split = lambda t: [w.decode() for w in (t or "").encode().lower().split()] + ["\n"]
+    train = [t for i, t in rows if i % 3]
+    c = Counter(w for t in train for w in split(t))
+    n, uses = sum(c.values()), Counter()
+    for w in (w for w, k in c.items() if k == 1 and w != "\n"):
+        raw = b" " + w.encode()
+        a, z = sums(raw, own), sums(raw[::-1], {k[::-1]: v for k, v in own.items()})[::-1]
+        for i in range(len(raw)):
+            for j in range(i + 1, min(len(raw), i + longest) + 1):
+                if raw[i:j] in own:
+                    uses[raw[i:j]] += a[i] * own[raw[i:j]] * z[j] / a[-1]
+    found = sum(uses.values())
+    fitted = {k: uses[k] + v * (0.05 * found + len(prior)) for k, v in own.items()}
+    total = sum(fitted.values())
+    fitted = {k: v / total for k, v in fitted.items()}
+    end = (len(train) + 1) / (n + 2)
+    spelled = lambda w: end if w == "\n" else sums(b" " + w.encode(), fitted)[-1] * (1 - end)
+    mixed = lambda w, arcs, less: sum(arcs) * max(0, c[w] - less) / (n - less) + (1 - sum(arcs)) * spelled(w)
+    arcs = max(lm_score.ARCS, key=lambda x: sum(k * math.log(mixed(w, x, 1)) for w, k in c.items()))
+    got = lm_score.score(spark.createDataFrame(rows, SCHEMA), path, F.col("doc_id") % 3 != 0).collect()
+    want = {i: sum(math.log10(mixed(w, arcs, 0)) for w in split(t)) for i, t in rows}
+    assert len(got) == len(rows) == len(want)
+    assert all(math.isclose(r["score"], want[r["doc_id"]], rel_tol=1e-4) for r in got)
+
+
 # --- 4 chat -----------------------------------------------------------------------------------------------------------
 
 
@@ -319,7 +361,7 @@ def test_decontaminate_against_brute_force(spark):
     rows = random_docs(6) + ODD
     bench = [(10, " ".join(rows[3][1].split()[:14]).upper()), (11, "one, one!"), (12, None), (13, ""), (14, rows[12][1]), (11, "a")]
     for limit in (10**9, 300):  # one shard, several
-        out = decontaminate.scan(docs(spark, rows), spark.createDataFrame(bench, "item_id long, text string"), max_chars=limit).collect()
+        out = decontaminate.scan(docs(spark, rows).drop("_n_words", "_n_hit", "_items", "_spans"), spark.createDataFrame(bench, "item_id long, text string"), max_chars=limit).collect()
         assert len(out) == len(rows)
         for r in out:
             w = words(r["text"])
@@ -352,6 +394,18 @@ def test_classifiers_on_held_out_rows(spark, sf_dir):
     assert (both.toxic_found & (both.toxic == 0)).mean() < 0.05 and len(tox) == len(got)
 
 
+def test_toxicity_on_held_out_rows(spark):
+    """Half of the labels are learned from; of the others, toxic texts are found, and more severe ones are worse."""
+    sf = "/root/testdata/sf0.1"
+    fold = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    df = spark.read.parquet(f"{sf}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    found = toxicity.severity(df, labels, trains=fold).withColumnRenamed("toxic", "found").join(labels.select("doc_id", F.col("toxic").alias("y")), "doc_id").where(~fold).toPandas()
+    assert len(found) > 500
+    assert found[found.y == 1].found.mean() >= 0.8 and found[found.y == 0].found.mean() <= 0.03
+    assert found[found.y == 1].severity.mean() > 4 * found[found.y == 0].severity.mean()
+
+
 def test_classifiers_odd(spark):
     df = docs(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -464,7 +518,7 @@ def test_encoder_equals_the_library():
 
 @pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(tokens=64, segments=3, loss_tokens=40)])
 def test_packing(spark, limits):
-    rows = random_docs(12, n=90) + ODD
+    rows = [(k, t) for k, (_, t) in enumerate(random_docs(12, n=90) + ODD)] + [(None, "last"), (7, rows_again := "twice " * 40), (7, rows_again)]
     df = docs(spark, rows).withColumn("prompt", F.lit(5))
     got = packing.pack(df, BPE, 1, prompt_tokens_col="prompt", limits=limits, group_rows=40, with_ids=True).toPandas()
     tok = packing.Encoder(BPE, 1).tok
@@ -476,9 +530,11 @@ def test_packing(spark, limits):
         assert s.length.sum() <= limits.tokens and len(s) <= limits.segments
         assert sum(max(0, r.start + r.length - max(5, r.start)) for r in s.itertuples()) <= limits.loss_tokens
     assert all(zlib.crc32(np.asarray(r.ids, dtype="<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in got.itertuples())
-    if limits == packing.Limits():
-        once = got[got.doc_id.isna()].sort_values("start")
-        assert tuple(np.concatenate(once.ids.to_list()).tolist()) in ids
+    for k, t in rows:  # each document's pieces, in order, are its ids, without a gap or a repeat
+        mine = (got[got.doc_id.isna()] if k is None else got[got.doc_id == k]).sort_values("start")
+        if k != 7:
+            assert np.concatenate(mine.ids.to_list()).tolist() == tok.encode(t or "", add_special_tokens=False).ids + [1]
+            assert mine.start.tolist() == [0, *mine.length.cumsum().tolist()[:-1]] and set(mine.doc_tokens) == {mine.length.sum()}
     assert packing.pack(df.limit(0), BPE, 1).count() == 0
 
 
