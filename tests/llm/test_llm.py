@@ -465,6 +465,49 @@ def test_rules_keep_clean_rows_and_columns(spark, sf_dir):
     assert quality_rules.keep(docs(spark)).count() == 0 and quality_rules.keep(df.limit(0)).count() == 0
 
 
+def test_kept_against_brute_force(spark, sf_dir):
+    """Votes and expectation-maximisation by hand, from the texts."""
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").toPandas()
+    stop, votes, failed = set(quality_rules.STOP_WORDS), {}, set()
+    for i, t in zip(texts.doc_id, texts.text, strict=True):
+        t = t or ""
+        w, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
+        n = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
+        again = len({j for k in range(len(w) - 7) if n[tuple(w[k : k + 8])] > 1 for j in range(k, k + 8)})
+        marks, dup, ended = len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), sum(bool(re.search(r"[.!?:;。]['\")\]]*[\x20\x09-\x0D]*$", x)) for x in lines)
+        k, chars, known = len(w), sum(map(len, w)), sum(x.lower() in stop for x in w)
+        said = lambda good, bad: 1 if good else -1 if bad else 0
+        votes[i] = (
+            said(False, k < 12), said(False, chars < 2.2 * k or chars > 14 * k), said(marks * 20 <= k, marks * 4 > k), said(False, dup * 5 > 2 * len(lines)), said(False, again * 4 > k),
+            said(known * 20 >= k > 0, k >= 20 and known * 50 < k), said(ended * 2 > len(lines), len(lines) > 3 and ended * 10 < len(lines)), said(False, k >= 20 and len(set(w)) * 12 < k),
+        )
+        if k < 20 or 100 * again > 30 * k:
+            failed.add(i)
+    prior, acc, total = 0.7, np.tile([[0.15, 0.85]], (8, 1)), len(votes)
+    v = np.array(list(votes.values()))
+
+    def posterior():
+        up, down = np.log(acc[:, 1] / acc[:, 0]), np.log((1 - acc[:, 1]) / (1 - acc[:, 0]))
+        return 1 / (1 + np.exp(-(math.log(prior / (1 - prior)) + (v == 1) @ up + (v == -1) @ down)))
+
+    for _ in range(50):
+        q = posterior()
+        new = []
+        for j in range(8):
+            sides = []
+            for weight, start in ((1 - q, 0.15), (q, 0.85)):
+                yes, all_ = weight[v[:, j] == 1].sum(), weight[v[:, j] != 0].sum()
+                sides.append((yes + 0.05 * total * start) / (all_ + 0.05 * total))
+            new.append(sides if sides[0] < sides[1] else [0.5, 0.5])
+        acc, moved = np.array(new), abs(q.mean() - prior)
+        prior = min(0.999, max(0.001, q.mean()))
+        if moved < 1e-9:
+            break
+    want = {i for i, p in zip(votes, posterior(), strict=True) if p >= 0.5 and i not in failed}
+    got = queries.op7_quality_rules(spark, sf_dir).toPandas()
+    assert set(got[got.kept].doc_id) == want and set(got[got.base_failed].doc_id) == failed
+
+
 # --- 9 substring dedup ------------------------------------------------------------------------------------------------
 
 
@@ -541,28 +584,82 @@ def test_packing(spark, limits):
 # --- the pipeline -----------------------------------------------------------------------------------------------------
 
 
-def test_pipeline_stages_against_brute_force(spark, sf_dir):
+def plain_jaccard_keeps(rows):
+    """Ids that stay if one of each group of texts with a Jaccard similarity of 0.8 stays, the first."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    at = {}
+    for k, s in enumerate(sets):
+        for x in s:
+            at.setdefault(x, []).append(k)
+    both = Counter((i, j) for ks in at.values() for i in ks for j in ks if j < i)
+    links = [(i, j) for (i, j), n in both.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n) - 1e-9]
+    none = [k for k, s in enumerate(sets) if not s]
+    of = find(links + [(none[0], k) for k in none[1:]], range(len(rows)))
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[of[k]] = min(i, least.get(of[k], 1 << 60))
+    return set(least.values())
+
+
+def test_pipeline_against_brute_force(spark, sf_dir, tmp_path):
+    """run() on the small table with planted near-copies, repeated lines and benchmark passages, each stage held against plain code
+    on what the stage before kept."""
     import corpus_pipeline
 
-    docs_in = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    seen = {}
+    rnd = random.Random(6)
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    kinds, rows = base.schema, [tuple(r) for r in base.collect()]
+    at, long = rows[0], [r for r in rows if r[1] and len(r[1].split()) > 150][:12]
+    passages = [r[1] for r in bench.select("item_id", "text").collect() if r[1] and len(r[1].split()) >= 12]
+    make = lambda i, t, like: tuple({"doc_id": i, "text": t, "n_chars": len(t)}.get(f.name, x) for f, x in zip(kinds, like, strict=True))
+    for k, r in enumerate(long):
+        w = r[1].split(" ")
+        near = [("swapped" if j in (len(w) // 3, 2 * len(w) // 3) else x) for j, x in enumerate(w)]
+        rows += [make(100_000 + k, " ".join(near), r), make(200_000 + k, f"{' '.join(w[: len(w) // 2])} {rnd.choice(passages)} {' '.join(w[len(w) // 2 :])}", r)]
+    there = [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in base.columns]
+    assert there == base.columns and at
+    spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs_in, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs_in, sf_dir)
-        assert out.columns == docs_in.columns
+        out = stage(spark, docs_in, str(tmp_path))
+        assert out.columns == base.columns
         seen[name] = (docs_in.toPandas(), out.toPandas())
-        docs_in = spark.createDataFrame(seen[name][1], docs_in.schema)
+        docs_in = spark.createDataFrame(seen[name][1], kinds)
+    pairs = lambda x: list(zip(x.doc_id.tolist(), x.text.tolist(), strict=True))
     before, after = seen["quality_rules"]
-    got = queries.op7_quality_rules(spark, sf_dir).toPandas()
+    got = queries.op7_quality_rules(spark, str(tmp_path)).toPandas()
     assert sorted(after.doc_id) == sorted(got[got.kept].doc_id)
     before, after = seen["line_dedup"]
-    want = removed_by_hand(list(zip(before.doc_id.tolist(), before.text.tolist(), strict=True)))
-    text = dict(zip(before.doc_id, before.text, strict=True))
-    assert all(r.text == "\n".join(x for k, x in enumerate(text[r.doc_id].split("\n")) if k not in want.get(r.doc_id, [])) and r.n_chars == len(r.text) for r in after.itertuples())
+    want, text = removed_by_hand(pairs(before)), dict(pairs(before))
+    off = [r for r in after.itertuples() if r.text != "\n".join(x for k, x in enumerate(text[r.doc_id].split("\n")) if k not in want.get(r.doc_id, []))]
+    assert len(off) <= 0.02 * max(1, len(want)) and all(r.n_chars == len(r.text) for r in after.itertuples())  # candidates are not exhaustive
     before, after = seen["simhash_dedup"]
-    exact = before.groupby("text").doc_id.min()
-    assert set(after.doc_id) <= set(exact) and len(after) > 0.8 * len(exact)
+    assert set(after.doc_id) == plain_jaccard_keeps(pairs(before))
     before, after = seen["decontaminate"]
-    hit = decontaminate.scan(spark.createDataFrame(before[["doc_id", "text"]], SCHEMA), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("_n_hit > 0")
-    assert set(before.doc_id) - set(after.doc_id) == {r["doc_id"] for r in hit.collect()}
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs_in, sf_dir)
-    assert set(packed.toPandas().doc_id) == set(after.doc_id)
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    known = {tuple(w[k : k + 10]) for w in (words(r["text"]) for r in bench.collect()) for k in range(max(1, len(w) - 9)) if w}
+    sizes = {len(x) for x in known}
+    hit = {i for i, t in pairs(before) if any(tuple(words(t)[k : k + n]) in known for n in sizes for k in range(len(words(t))))}
+    assert set(before.doc_id) - set(after.doc_id) == hit and sum(i >= 200_000 for i in hit) >= 1
+    packed = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    tok = packing.Encoder(BPE, 1).tok
+    assert packed.groupby("doc_id").length.sum().to_dict() == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in pairs(after)}
+
+
+def test_pipeline_odd(spark, tmp_path):
+    """Nulls, repeats, clashing names and empty tables pass through every stage."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, "what is the height of the old tower by the river in spring")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    some = docs(spark, [*ODD, (20, "A sentence of the kind that is kept, with the words that it has in it, and it ends. " * 2), (20, "Another that is kept, with the words of it, as it is in the table by the wall, and it ends here with a stop.")])
+    for df in (some, some.limit(0)):
+        out = df
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, out, str(tmp_path))
+            assert out.columns == df.columns
+        assert corpus_pipeline.STAGES[-1][1](spark, out, str(tmp_path)).count() >= 0
