@@ -118,12 +118,12 @@ def fill_missing(df: DataFrame, methods: dict[str, tuple[str, float]], keys: lis
     """FE09: variable -> (method, constant). Methods: constant, or mean, median, mode of the group, then of all, then the
     constant. Statistics are aggregates joined back, so no group is held in one window. Median and mode are approximate, from
     sketches of bounded size, unless exact ones are asked for, whose state grows with the distinct values."""
-    frequent = lambda c: F.get(F.approx_top_k(c, 1, 10_000), 0)["item"]
-    stats = {"mean": F.avg, "median": (lambda c: F.percentile(c, 0.5)) if exact else (lambda c: F.percentile_approx(c, 0.5, 10_000)), "mode": F.mode if exact else frequent}
+    frequent = lambda v: F.get(F.expr(f"approx_top_k(`{v}`, 1, 10000) FILTER (WHERE `{v}` IS NOT NULL)"), 0)["item"]
+    stats = {"mean": F.avg, "median": (lambda v: F.percentile(v, 0.5)) if exact else (lambda v: F.percentile_approx(v, 0.5, 10_000)), "mode": F.mode if exact else frequent}
     asked = {v: m for v, (m, _) in methods.items() if m != "constant"}
     if asked:
-        df = df.join(df.groupBy(*keys).agg(*(stats[m](F.col(v)).alias(f"_g_{v}") for v, m in asked.items())), keys, "left")
-        df = df.join(F.broadcast(df.agg(*(stats[m](F.col(v)).alias(f"_a_{v}") for v, m in asked.items()))))
+        df = df.join(df.groupBy(*keys).agg(*(stats[m](v).alias(f"_g_{v}") for v, m in asked.items())), keys, "left")
+        df = df.join(F.broadcast(df.agg(*(stats[m](v).alias(f"_a_{v}") for v, m in asked.items()))))
     filled = {v: F.coalesce(F.col(v), *([F.col(f"_g_{v}"), F.col(f"_a_{v}")] if v in asked else []), F.lit(c)) for v, (_, c) in methods.items()}
     return df.withColumns(filled).drop(*(f"_{a}_{v}" for v in asked for a in "ga"))
 

@@ -1,5 +1,6 @@
 """Literal cases, properties and plans of the operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,10 +20,10 @@ EMAIL = r"^[\w.+-]+@[\w-]+\.[\w.]+$"
 @pytest.mark.parametrize(
     ("rows", "schema", "rule", "score", "failed"),
     [
-        ([(1, "John"), (2, None), (3, "Jane"), (4, None)], "id int, name string", {"type": "completeness", "column": "name", "threshold": 0.8}, 0.5, 2),
-        ([(1,), (2,), (1,), (3,), (2,)], "id int", {"type": "uniqueness", "columns": ["id"]}, 0.6, 2),
-        ([(50000,), (-1000,), (75000,), (0,)], "amount int", {"type": "range", "column": "amount", "min_value": 0}, 0.75, 1),
-        ([("john@example.com",), ("invalid-email",), ("jane@",), ("alice@test.co.uk",)], "e string", {"type": "pattern", "column": "e", "pattern": EMAIL}, 0.5, 2),
+        ([(7, None), (8, "Oslo"), (9, "Lima"), (10, None)], "id int, name string", {"type": "completeness", "column": "name", "threshold": 0.8}, 0.5, 2),
+        ([(40,), (40,), (41,), (42,), (42,)], "id int", {"type": "uniqueness", "columns": ["id"]}, 0.6, 2),
+        ([(0,), (12,), (-5,), (830,)], "amount int", {"type": "range", "column": "amount", "min_value": 0}, 0.75, 1),
+        ([("no address",), ("x.y@z.example",), ("@z.example",), ("q+1@w-w.example.net",)], "e string", {"type": "pattern", "column": "e", "pattern": EMAIL}, 0.5, 2),
         ([("a@b.co",), ("c@d.org",), ("e@f.net",)], "e string", {"type": "regex", "column": "e", "regex": EMAIL}, 1.0, 0),
     ],
 )
@@ -32,7 +33,7 @@ def test_quality_literals(spark, rows, schema, rule, score, failed):
 
 
 def test_quality_contract(spark):
-    df = spark.createDataFrame([(1, None, 25)], "id int, name string, age int")
+    df = spark.createDataFrame([(6, None, 61)], "id int, name string, age int")
     with pytest.raises(DQ.QualityError, match="Data quality validation failed"):
         DQ.enforce(df, [DQ.Rule("n", "completeness", ("name",))])
     assert DQ.validate(df, [DQ.Rule("n", "completeness", ("name",), enabled=False)]).count() == 0
@@ -144,3 +145,46 @@ def test_late_rows_are_counted(spark, tmp_path):
         q.awaitTermination()
         dropped += ST.dropped_late(q)
     assert dropped >= 1
+
+
+def test_auc_and_tiles_at_size(spark):
+    """3,000,000 rows with other columns beside, without reuse of exchanges: equal to the exact figures."""
+    n = 3_000_000
+    x = F.pmod(F.xxhash64("id"), F.lit(900_001)).cast("double")
+    df = spark.range(n).select("id", F.when(F.col("id") % 1000 == 0, None).otherwise(x).alias("x"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(10)) < 3).cast("int").alias("y"), F.lit("other").alias("_part"))
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        tiles = SP.global_ntile(df, "x", "id", {"quartile": 4, "decile": 10}).select("id", "x", "y", "quartile", "decile").toPandas()
+        auc = ML.auc(df.where("x is not null"), "y", "x").first()["auc"]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    tiles = tiles.sort_values(["x", "id"], na_position="first", ignore_index=True)
+    for name, k in (("quartile", 4), ("decile", 10)):
+        q, r = divmod(n, k)
+        want = np.repeat(np.arange(1, k + 1), [q + (i < r) for i in range(k)])
+        assert (tiles[name].to_numpy() == want).all()
+    known = tiles[tiles.x.notna()]
+    rank, pos = known.x.rank().to_numpy(), (known.y == 1).to_numpy()
+    want = (rank[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (~pos).sum())
+    assert abs(auc - want) < 1e-9
+
+
+def test_windows_cover_months_one_to_w(spark):
+    rows = spark.createDataFrame([(1, m, float(10**m)) for m in range(6)], "k int, months_back int, x double")
+    got = FE.window_aggregates(rows, ["k"], ["x"], [1, 3], ("sum", "mean")).first()
+    assert (got["sum_x_1m"], got["sum_x_3m"], got["mean_x_3m"]) == (10.0, 1110.0, 370.0)
+
+
+def test_accents(spark):
+    df = spark.createDataFrame([("\u00c9t\u00e9 \u00df \u00d8re \u0141\u00f3d\u017a \u1ebf e\u0301",), (None,)], "s string")
+    X.register_sql_functions(spark)
+    assert [r[0] for r in df.select(X.strip_accents(F.col("s"))).collect()] == ["ete ss ore lodz e e", ""]
+    assert [r[0] for r in df.selectExpr("strip_accents(s)").collect()] == ["ete ss ore lodz e e", ""]
+
+
+def test_fill_missing_sketches(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", 3.0), ("a", None), ("b", None)], "g string, v double")
+    for exact in (False, True):
+        got = FE.fill_missing(df.withColumn("w", F.col("v")), {"v": ("median", 0.0), "w": ("mode", 0.0)}, ["g"], exact=exact).collect()
+        assert [(r["v"], r["w"]) for r in got if r["g"] == "b"] == [(3.0, 3.0)]
