@@ -247,7 +247,7 @@ def score(
     text_col: str = "text",
     class_col: str | None = None,
     rounds: int = 1,
-    block_bytes: int = 24_000_000,
+    block_bytes: int = 16_000_000,
 ) -> DataFrame:
     """(id_col, n_tokens, n_known, train_tokens long, base_score, score double): log10 probabilities of whole texts, base_score
     by add-one word counts, score by the lattice. trains says which rows are learned from; class_col, if given, names the
