@@ -158,18 +158,19 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     prompt_tokens_col: str | None = None,
+    prompt_text_col: str | None = None,
     limits: Limits = Limits(),  # noqa: B008
     group_rows: int = 2000,
     with_ids: bool = False,
 ) -> DataFrame:
     """A row per piece: (id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids array<int>]).
 
-    prompt_tokens_col: tokens at a document's start that bear no loss; none if not given. with_ids: pieces carry their ids,
-    full ones too. sequence_id: the group's number times 2**32 plus the sequence's number in the group."""
+    prompt_tokens_col: tokens at a document's start that bear no loss; prompt_text_col: a text before the document's, whose tokens
+    are its first and bear no loss; none if not given. with_ids: pieces carry their ids, full ones too. sequence_id: the group's number times 2**32 plus the sequence's number in the group."""
     assert limits.loss_tokens > 0 and limits.segments > 0
     id_type = df.schema[id_col].dataType.simpleString()
     prompt = F.col(prompt_tokens_col).cast("long") if prompt_tokens_col else F.lit(0).cast("long")
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(prompt, F.lit(0)).alias("prompt"), F.col(text_col).alias("text"))
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(prompt, F.lit(0)).alias("prompt"), (F.col(prompt_text_col) if prompt_text_col else F.lit(None).cast("string")).alias("lead"), F.col(text_col).alias("text"))
     n_groups = max(1, -(-df.count() // group_rows))
     full = min(limits.tokens, limits.loss_tokens)
 
@@ -180,11 +181,14 @@ def pack(
             for at in range(0, batch.num_rows, 128):
                 b = batch.slice(at, 128)
                 out: dict[str, list] = {k: [] for k in ("id", "row", "start", "length", "crc", "total", "loss_from", "ids")}
-                for i, prompt, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                for i, prompt, lead, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True):
                     ids, row = encode(text.as_py()), row + 1
+                    if lead := lead.as_py():
+                        before = encode(lead)[:-1]
+                        ids, prompt = np.r_[before, ids], len(before)
                     for s in range(0, len(ids), full):
                         part = ids[s : s + full]
-                        whole = len(part) == full
+                        whole = len(part) == limits.tokens
                         crc = _crc(part)
                         for k, v in zip(out, (i, row, s, len(part), crc, len(ids), max(0, prompt - s), None if whole and not with_ids else part.astype("<u4" if encode.wide else "<u2").tobytes()), strict=True):
                             out[k].append(v)
@@ -195,7 +199,7 @@ def pack(
         base = int(pdf["group"].iloc[0]) << 32
         out: list[tuple] = []
         seq = 0
-        whole = (pdf["length"] == full).to_numpy()
+        whole = (pdf["length"] == limits.tokens).to_numpy()
         width = 2 if pdf["ids"].isna().all() else max(2, max(len(x) // n for x, n in zip(pdf["ids"], pdf["length"], strict=True) if x is not None))
         get = lambda x: np.frombuffer(x, dtype="<u2" if width == 2 else "<u4")
         for r in pdf[whole].itertuples(index=False):

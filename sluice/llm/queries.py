@@ -155,6 +155,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
 
 
+def packing_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations under three limits that differ: up to the first answer, text bears no loss."""
+    import public_tokenizers
+
+    chats = chat_format.format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    at = F.array_position(F.transform("segments", lambda s: s["loss"]), F.lit(True)).cast("int")
+    said = chats.select("conv_id", F.transform("segments", lambda s: s["text"]).alias("s"), F.when(at > 0, at - 1).otherwise(F.size("segments")).alias("k"))
+    parts = said.select("conv_id", F.array_join(F.slice("s", F.lit(1), F.col("k")), "").alias("lead"), F.array_join(F.slice("s", F.col("k") + 1, F.size("s")), "").alias("text"))
+    limits = packing.Limits(tokens=2048, segments=12, loss_tokens=1536)
+    return packing.pack(parts, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, id_col="conv_id", prompt_text_col="lead", limits=limits)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -166,5 +178,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "packing_chats": packing_chats,
 }
 SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL, "op9_substring_dedup": OP9_SQL}

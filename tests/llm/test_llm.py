@@ -581,6 +581,25 @@ def test_packing(spark, limits):
     assert packing.pack(df.limit(0), BPE, 1).count() == 0
 
 
+def test_packing_chats(spark, sf_dir):
+    got = queries.packing_chats(spark, sf_dir).toPandas()
+    chats = spark.read.parquet(f"{sf_dir}/conversations.parquet").toPandas()
+    assert set(got.conv_id) == set(chats.conv_id)
+    ids, prompt = {}, {}
+    tok = packing.Encoder(BPE, 1).tok
+    size = lambda x: len(tok.encode(x, add_special_tokens=False).ids)
+    rows = chat_format.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")).select("conv_id", "segments").collect()
+    for r in rows:
+        k = next((k for k, s in enumerate(r["segments"]) if s["loss"]), len(r["segments"]))
+        lead, text = ("".join(s["text"] for s in part) for part in (r["segments"][:k], r["segments"][k:]))
+        prompt[r["conv_id"]] = size(lead)
+        ids[r["conv_id"]] = prompt[r["conv_id"]] + size(text) + 1
+    assert got.groupby("conv_id").length.sum().to_dict() == ids
+    got["loss"] = [max(0, r.start + r.length - max(prompt[r.conv_id], r.start)) for r in got.itertuples()]
+    each = got.groupby("sequence_id").agg(tokens=("length", "sum"), segments=("length", "size"), loss=("loss", "sum"))
+    assert each.tokens.max() <= 2048 and each.segments.max() <= 12 and each.loss.max() <= 1536
+
+
 # --- the pipeline -----------------------------------------------------------------------------------------------------
 
 
