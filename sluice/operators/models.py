@@ -143,13 +143,17 @@ def top_users(model: ALSModel, user: str, item: str, n: int) -> DataFrame:
     return model.recommendForAllItems(n).select(item, F.inline("recommendations"))
 
 
-def similar_items(ratings: DataFrame, user: str, item: str, least: float = 0.7, least_common: int = 1) -> DataFrame:
+def similar_items(ratings: DataFrame, user: str, item: str, least: float = 0.7, least_common: int = 1, block_items: int = 1000) -> DataFrame:
     """ML04: (item_a, item_b, common, similarity): cosine of the items' sets of users, item_a < item_b. Pairs arise within users,
-    so their number is bounded by the squares of users' histories; thin out very active users before."""
+    so their number is bounded by the squares of users' histories; a long history is split over tasks."""
     seen = ratings.select(F.col(user).alias("u"), F.col(item).alias("i")).distinct()
     n = seen.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    a, b = seen.select("u", F.col("i").alias("item_a")), seen.select("u", F.col("i").alias("item_b"))
-    pairs = a.join(b, "u").where("item_a < item_b").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= least_common)
+    # A user's items are dealt to blocks of about block_items, and a task gets two of these: x of block p meets y of block q in (p, q).
+    blocks = seen.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / block_items).cast("int").alias("k"))
+    dealt = seen.join(blocks, "u").withColumn("own", F.pmod(F.xxhash64("i"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    a = dealt.select("u", F.col("own").alias("p"), F.col("other").alias("q"), F.col("i").alias("item_a"))
+    b = dealt.select("u", F.col("other").alias("p"), F.col("own").alias("q"), F.col("i").alias("item_b"))
+    pairs = a.join(b, ["u", "p", "q"]).where("item_a < item_b").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= least_common)
     out = pairs.join(n.select(F.col("i").alias("item_a"), F.col("n").alias("_na")), "item_a").join(n.select(F.col("i").alias("item_b"), F.col("n").alias("_nb")), "item_b")
     return out.select("item_a", "item_b", "common", (F.col("common") / F.sqrt(F.col("_na") * F.col("_nb").cast("double"))).alias("similarity")).where(F.col("similarity") >= least)
 

@@ -188,3 +188,9 @@ def test_fill_missing_sketches(spark):
     for exact in (False, True):
         got = FE.fill_missing(df.withColumn("w", F.col("v")), {"v": ("median", 0.0), "w": ("mode", 0.0)}, ["g"], exact=exact).collect()
         assert [(r["v"], r["w"]) for r in got if r["g"] == "b"] == [(3.0, 3.0)]
+
+
+def test_similar_items_in_blocks(spark):
+    rows = spark.range(3000).select((F.col("id") % 7).alias("u"), F.pmod(F.xxhash64("id"), F.lit(60)).alias("i"))
+    whole, split = ({tuple(r) for r in ML.similar_items(rows, "u", "i", 0.1, block_items=k).collect()} for k in (1000, 7))
+    assert whole == split and len(whole) > 100
