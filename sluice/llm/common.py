@@ -34,9 +34,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has yet."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: the lineage ends there, and lost executors lose nothing."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -54,8 +64,7 @@ def discard(df: DataFrame) -> None:
     """Deletes the files of a stored() frame that nothing reads any more."""
     spark = df.sparkSession
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, name)
 
 
 def row_key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat_format, decontaminate, line_dedup, lm_score, packing, quality_rules, rule_classifier, simhash_dedup, substring_dedup, toxicity
-from sluice.llm.common import table
+from sluice.llm import centroids, chat_format, decontaminate, line_dedup, lm_score, packing, quality_rules, rule_classifier, simhash_dedup, substring_dedup, token_files, toxicity, whitening
+from sluice.llm.common import new_folder, remove_folder, table
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -167,6 +168,45 @@ def packing_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, id_col="conv_id", prompt_text_col="lead", limits=limits)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, factor=256, salt="2:")
+    text = F.array_join(F.transform("centroid", lambda c: c.cast("string")), ",")
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(text, 256).alias("centroid_sha256"))
+
+
+def _op11_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """The rounds one after the other, on (row, dimension) rows."""
+    parts = [
+        f"""kept AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+        f"x AS MATERIALIZED (SELECT r, unnest(range({dims})) AS i, unnest(v) AS x FROM kept)",
+        f"""c0 AS MATERIALIZED (SELECT k, unnest(range({dims})) AS i, unnest(v) AS c FROM (SELECT v, row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS k FROM kept) WHERE k < {k})""",
+    ]
+    for t in range(rounds + 1):
+        parts.append(f"d{t} AS (SELECT r, k, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN c{t} USING (i) GROUP BY r, k)")
+        parts.append(f"a{t} AS MATERIALIZED (SELECT r, min(d) AS d, arg_min(k, (d, k)) AS k FROM d{t} GROUP BY r)")
+        if t < rounds:
+            parts.append(f"m{t} AS (SELECT k, i, sum(x)::BIGINT AS s, count(*) AS n FROM a{t} JOIN x USING (r) GROUP BY k, i)")
+            parts.append(f"c{t + 1} AS MATERIALIZED (SELECT k, i, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM c{t} LEFT JOIN m{t} USING (k, i))")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, k::BIGINT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN (SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k) USING (k)"""
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_folder(spark, "token-files")
+    token_files.write_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    out = token_files.read_documents(spark, path)
+    remove_folder(spark, path)
+    return out
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32, factor=64)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -179,5 +219,8 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
     "packing_chats": packing_chats,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_token_files": op12_token_files,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
-SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL, "op9_substring_dedup": OP9_SQL}
+SQL = {"op4_chat_format": OP4_SQL, "op5_decontaminate": OP5_SQL, "op9_substring_dedup": OP9_SQL, "op11_centroid_clustering": _op11_sql()}
