@@ -93,31 +93,6 @@ def parse_vector(c: Column) -> Column:
     return F.transform(F.split(F.regexp_replace(c, r"[\[\]\s]", ""), ","), lambda x: x.try_cast("double"))
 
 
-def range_bounds(df: DataFrame, cols: list[str], ranges: int = 64, sampled: int = 20_000) -> list[tuple]:
-    """Up to ranges - 1 tuples of cols that cut df, ordered by cols, into parts of about one size. They come from the rows whose
-    hash of cols is small, about `sampled` of them, so that the driver gets as many whatever the size of df."""
-    n = df.count()
-    share = F.pmod(F.xxhash64(*cols), F.lit(1_000_000_007)) < int(min(1.0, sampled / max(n, 1)) * 1_000_000_007)
-    rows = sorted({tuple(r) for r in df.where(share).select(*cols).collect() if None not in tuple(r)})
-    return sorted({rows[len(rows) * k // ranges] for k in range(1, ranges)}) if rows else []
-
-
-def range_part(cols: list[str], bounds: list[tuple]) -> Column:
-    """The number of bounds at or below the row, as literals: the same for a row wherever it is evaluated. Nulls come first."""
-
-    def below(bound: tuple) -> Column:
-        out = F.lit(False)
-        for c, v in reversed(list(zip(cols, bound, strict=True))):
-            out = F.col(c).isNull() | (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & out)
-        return out
-
-    def tree(lo: int, hi: int) -> Column:
-        mid = (lo + hi) // 2
-        return F.lit(lo) if lo == hi else F.when(below(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(bounds))
-
-
 def clear_names(df: DataFrame, *names: str) -> list[str]:
     """Column names for inside use that df, in whatever case, does not have."""
     mine, mark = {c.lower() for c in df.columns}, "_"

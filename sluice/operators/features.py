@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluice.functions.expressions import clear_names, hash_share, ordered_case
+from sluice.functions.expressions import clear_names, ordered_case
+from sluice.operators.ranks import digest, nth_digest
 
 #: name -> seconds, and the row counts that "frame='rows'" takes in their place.
 WINDOWS = {"7d": (7 * 86_400, 10_080), "24h": (86_400, 1_440), "1h": (3_600, 60)}
@@ -166,22 +168,38 @@ def rank_in_group(df: DataFrame, group: str, by: list[Column], name: str = "rank
     return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*by)))
 
 
+def share_bound(share: float) -> str:
+    """The 128-bit number, as 32 hexadecimal digits, below which that share of all digests is. The share is taken as it is written:
+    0.0005 is 5 in 10,000."""
+    if not 0 <= share <= 1:
+        raise ValueError(f"a share must be from 0 to 1, not {share}")
+    return f"{int(Fraction(str(share)) * (1 << 128)):032x}"
+
+
+def in_share(key: Column, share: float) -> Column:
+    """Whether the md5 of a key, all 128 bits of it, is below the share; null keys are like empty ones."""
+    bound = share_bound(share)
+    return F.lit(True) if len(bound) > 32 else digest(key) < bound
+
+
 def hash_split(df: DataFrame, key: str, test_share: float = 0.2) -> DataFrame:
     """PRJ16: is_test by the md5 of the key: the same rows on every run."""
-    return df.withColumn("is_test", hash_share(F.col(key)) < int(test_share * 1000))
+    return df.withColumn("is_test", in_share(F.col(key), test_share))
 
 
 def hash_sample(df: DataFrame, key: str, share: float) -> DataFrame:
-    """PRJ14: a sample by the md5 of the key, the same on every run; shares in thousandths."""
-    return df.where(hash_share(F.col(key)) < int(share * 1000))
+    """PRJ14: a sample by the md5 of the key, the same on every run, of any share."""
+    return df.where(in_share(F.col(key), share))
 
 
 def rebalance(df: DataFrame, label: str, key: str, most: float = 10.0, to: float = 5.0) -> DataFrame:
-    """PRJ15: with more than `most` zeros for a one, zeros are thinned by the md5 of the key to about `to`, in thousandths of them. One aggregate decides."""
-    n = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    share = F.when(F.col("n") > most * F.col("p"), to * F.col("p") / F.col("n")).otherwise(1.0)
-    out = df.join(F.broadcast(n.select(share.alias("_share"))))
-    return out.where((F.col(label) == 1) | (hash_share(F.col(key)) < F.floor(F.col("_share") * 1000))).drop("_share")
+    """PRJ15: with more than `most` zeros for a one, exactly floor(to * ones) zeros are kept, those of the smallest md5 of the key, at any
+    ratio of the classes; zeros whose keys are equal to the first left out are left out too. Without ones, or with fewer zeros, df
+    itself. Rows with other labels go. Three small aggregates decide when it is called; df's rows are only filtered."""
+    ones, zeros = df.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label) == 0)).first()
+    out = df.where(F.col(label).isin(0, 1))
+    bound = nth_digest(df.where(F.col(label) == 0), key, zeros, int(to * ones)) if ones and zeros > most * ones else None
+    return out if bound is None else out.where((F.col(label) == 1) | (digest(F.col(key)) < bound))
 
 
 def surrogate_id(df: DataFrame, name: str) -> DataFrame:

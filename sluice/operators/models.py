@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluice.functions.expressions import range_bounds, range_part, safe_ratio
+from sluice.functions.expressions import safe_ratio
+from sluice.operators.ranks import curve_areas
+from sluice.operators.similarity import similar_sets
 
 
 def encode(df: DataFrame, columns: list[str]) -> tuple[DataFrame, PipelineModel]:
@@ -92,18 +94,8 @@ def confusion(predictions: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def auc(predictions: DataFrame, label: str, value: str) -> DataFrame:
-    """ML06: one row: the area under the ROC curve, ties counted half.
-
-    Rows are first counted by value, so only distinct values are ordered; their running sums are in two steps, within ranges of
-    values and over ranges, so that no task sees all of them. The ranges' bounds are literals."""
-    named = predictions.select(F.col(label).alias("_label"), F.col(value).alias("_value"))
-    part = range_part(["_value"], range_bounds(named.select("_value").distinct(), ["_value"]))
-    g = named.groupBy("_value").agg(F.count_if(F.col("_label") == 1).alias("_pos"), F.count_if(F.col("_label") == 0).alias("_neg")).withColumn("_part", part)
-    offsets = g.groupBy("_part").agg(F.sum("_neg").alias("_s"))
-    before = F.broadcast(offsets.select("_part", (F.sum("_s").over(Window.orderBy("_part")) - F.col("_s")).alias("_before")))
-    local = F.sum("_neg").over(Window.partitionBy("_part").orderBy("_value")) - F.col("_neg")
-    below = g.withColumn("_local", local).join(before, "_part").withColumn("_below", F.col("_before") + F.col("_local"))
-    return below.agg(F.try_divide(F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)), F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"))
+    """ML06: one row: the area under the ROC curve, ties counted half."""
+    return curve_areas(predictions, label, value).select("auc")
 
 
 def area_under_pr(predictions: DataFrame, label: str, raw: str) -> float:
@@ -144,31 +136,20 @@ def top_users(model: ALSModel, user: str, item: str, n: int) -> DataFrame:
 
 
 def similar_items(ratings: DataFrame, user: str, item: str, least: float = 0.7, least_common: int = 1, block_items: int = 1000) -> DataFrame:
-    """ML04: (item_a, item_b, common, similarity): cosine of the items' sets of users, item_a < item_b. Pairs arise within users,
-    so their number is bounded by the squares of users' histories; a long history is split over tasks."""
-    seen = ratings.select(F.col(user).alias("u"), F.col(item).alias("i")).distinct()
-    n = seen.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    # A user's items are dealt to blocks of about block_items, and a task gets two of these: x of block p meets y of block q in (p, q).
-    blocks = seen.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / block_items).cast("int").alias("k"))
-    dealt = seen.join(blocks, "u").withColumn("own", F.pmod(F.xxhash64("i"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    a = dealt.select("u", F.col("own").alias("p"), F.col("other").alias("q"), F.col("i").alias("item_a"))
-    b = dealt.select("u", F.col("other").alias("p"), F.col("own").alias("q"), F.col("i").alias("item_b"))
-    pairs = a.join(b, ["u", "p", "q"]).where("item_a < item_b").groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= least_common)
-    out = pairs.join(n.select(F.col("i").alias("item_a"), F.col("n").alias("_na")), "item_a").join(n.select(F.col("i").alias("item_b"), F.col("n").alias("_nb")), "item_b")
-    return out.select("item_a", "item_b", "common", (F.col("common") / F.sqrt(F.col("_na") * F.col("_nb").cast("double"))).alias("similarity")).where(F.col("similarity") >= least)
+    """ML04: (item_a, item_b, common, similarity): cosine of the items' sets of users, item_a < item_b, exact."""
+    pairs = similar_sets(ratings, item, user, least, "cosine", block_items)
+    return pairs.where(F.col("common") >= least_common).withColumnsRenamed({"a": "item_a", "b": "item_b"})
 
 
 def content_similarity(items: DataFrame, item: str, attributes: list[str], least: float = 0.7) -> DataFrame:
-    """ML13: (item_a, item_b, similarity): Jaccard of the items' attributes. Items with equal attributes are one class, and only
-    classes are compared; pairs of items are made from pairs of classes."""
+    """ML13: (class_a, class_b, similarity), both ways and with themselves: Jaccard of the items' attributes. Items with equal
+    attributes are one class, and only classes are compared; pairs of items are made from pairs of classes."""
     classes = items.groupBy(*attributes).agg(F.min(item).alias("c"))
-    marks = classes.select("c", F.explode(F.array_distinct(F.array(*(F.concat(F.lit(f"{a}="), F.col(a).cast("string")) for a in attributes)))).alias("m")).where("m is not null")
-    n = marks.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    a, b = marks.select("m", F.col("c").alias("a")), marks.select("m", F.col("c").alias("b"))
-    both = a.join(b, "m").groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
-    j = both.join(n.select(F.col("c").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("c").alias("b"), F.col("n").alias("nb")), "b")
-    j = j.select("a", "b", (F.col("k") / (F.col("na") + F.col("nb") - F.col("k"))).alias("similarity")).where(F.col("similarity") >= least)
-    return j.withColumnsRenamed({"a": "class_a", "b": "class_b"})
+    marks = classes.select("c", F.explode(F.array(*(F.concat(F.lit(f"{a}="), F.col(a).cast("string")) for a in attributes))).alias("m")).where("m is not null")
+    pairs = similar_sets(marks, "c", "m", least, "jaccard").select("a", "b", "similarity")
+    own = marks.select(F.col("c").alias("a"), F.col("c").alias("b"), F.lit(1.0).alias("similarity")).distinct()
+    every = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).unionByName(own)
+    return every.withColumnsRenamed({"a": "class_a", "b": "class_b"})
 
 
 def attribute_class(items: DataFrame, item: str, attributes: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Score publishing, experiments and metric tables (SP, WN07, AB, MT operators)."""
+"""Score publishing, experiments and metric tables (SP, AB, MT operators)."""
 
 from __future__ import annotations
 
@@ -6,30 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from sluice.functions.expressions import clear_names, hash_share, iso_utc, range_bounds, range_part
-
-
-def global_ntile(df: DataFrame, score: str, key: str, tiles: dict[str, int]) -> DataFrame:
-    """WN07, SP03: for each name, the tile 1..n of the rows ordered by (score, key), as ntile() over all rows would give.
-
-    No single task sees all rows: rows are numbered within ranges of (score, key), whose bounds are literals, so that a row's
-    range is the same in all parts of the plan; the ranges' counts, one row each, give the offsets. As ntile: with N = q * n + r,
-    the first r tiles have q + 1 rows. The key must be unique; null scores come first."""
-    part, n, before, all_, local = clear_names(df, "part", "n", "before", "all", "local")
-    parts = df.withColumn(part, range_part([score, key], range_bounds(df, [score, key])))
-    counts = parts.groupBy(part).agg(F.count(F.lit(1)).alias(n))
-    offsets = counts.select(part, (F.sum(n).over(Window.orderBy(part)) - F.col(n)).alias(before), F.sum(n).over(Window.partitionBy()).alias(all_))
-    ranked = parts.withColumn(local, F.row_number().over(Window.partitionBy(part).orderBy(score, key))).join(F.broadcast(offsets), part)
-    rank = F.col(before) + F.col(local) - 1
-    return ranked.withColumns({name: _tile(rank, F.col(all_), k) for name, k in tiles.items()}).drop(part, local, before, all_)
-
-
-def _tile(rank: Column, total: Column, n: int) -> Column:
-    q, r = F.floor(total / n), total % n
-    long_part = r * (q + 1)
-    return F.when(rank < long_part, F.floor(rank / (q + 1)) + 1).otherwise(r + F.floor((rank - long_part) / F.greatest(q, F.lit(1))) + 1).cast("int")
+from sluice.functions.expressions import hash_share, iso_utc
+from sluice.operators.ranks import global_ntile  # noqa: F401  a part of score publishing
 
 
 def assign_decile(df: DataFrame, score: str, mins: list[float], maxs: list[float]) -> DataFrame:

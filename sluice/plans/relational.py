@@ -115,29 +115,44 @@ def prj_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r4(v.select("vec_id", F.get("a", 0).alias("f1"), F.get("a", 1).alias("f2"), F.get("a", F.size("a") - 1).alias("f_last"), F.size("a").alias("n")))
 
 
-@query("SELECT o_orderkey, (('0x' || substr(md5(o_orderkey::VARCHAR), 1, 16))::UBIGINT::HUGEINT % 1000 * 616 + ('0x' || substr(md5(o_orderkey::VARCHAR), 17, 16))::UBIGINT::HUGEINT) % 1000 < 200 AS is_test FROM orders")
+@query(f"SELECT o_orderkey, md5(o_orderkey::VARCHAR) < '{FE.share_bound(0.2)}' AS is_test FROM orders")
 def prj_hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ16"""
     return FE.hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 0.2)
 
 
-_SHARE = "(('0x' || substr(md5(o_orderkey::VARCHAR), 1, 16))::UBIGINT::HUGEINT % 1000 * 616 + ('0x' || substr(md5(o_orderkey::VARCHAR), 17, 16))::UBIGINT::HUGEINT) % 1000"
-
-
-@query(f"SELECT o_orderkey FROM orders WHERE {_SHARE} < 100")
+@query(f"SELECT o_orderkey FROM orders WHERE md5(o_orderkey::VARCHAR) < '{FE.share_bound(0.1)}'")
 def prj_hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ14"""
     return FE.hash_sample(table(spark, sf_dir, "orders"), "o_orderkey", 0.1).select("o_orderkey")
 
 
-@query(f"""WITH o AS (SELECT o_orderkey, (o_totalprice > 480000)::BIGINT AS label FROM orders), n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM o)
-SELECT o_orderkey, label FROM o, n WHERE label = 1 OR {_SHARE} < floor(CASE WHEN n > 10 * p THEN 5.0::DOUBLE * p / n ELSE 1.0 END * 1000)""")
+@query(f"SELECT l_orderkey, l_linenumber FROM lineitem WHERE md5(l_orderkey || ':' || l_linenumber) < '{FE.share_bound(0.0005)}'")
+def prj_hash_sample_thin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ14: five rows in ten thousand"""
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws(":", "l_orderkey", "l_linenumber").alias("key"))
+    return FE.hash_sample(x, "key", 0.0005).drop("key")
+
+
+_BALANCED = """, n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM o), z AS (SELECT *, row_number() OVER (ORDER BY d) - 1 AS k FROM o WHERE label = 0)
+SELECT {0}, label FROM o WHERE label = 1 UNION ALL SELECT {0}, label FROM z, n WHERE p = 0 OR n <= 10 * p OR k < 5 * p"""
+
+
+@query("WITH o AS (SELECT o_orderkey, (o_totalprice > 480000)::BIGINT AS label, md5(o_orderkey::VARCHAR) AS d FROM orders)" + _BALANCED.format("o_orderkey"))
 def prj_rebalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ15"""
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") > 480_000).cast("int").alias("label"))
     return r4(FE.rebalance(o, "label", "o_orderkey"))
 
 
+@query("WITH o AS (SELECT event_id, (value > (SELECT max(value) FROM events) * 0.995)::BIGINT AS label, md5(event_id::VARCHAR) AS d FROM events)" + _BALANCED.format("event_id"))
+def prj_rebalance_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ15: a class of which there are a few rows in many thousands"""
+    e = table(spark, sf_dir, "events")
+    most = e.agg((F.max("value") * 0.995).alias("most"))
+    return r4(FE.rebalance(e.join(F.broadcast(most)).select("event_id", (F.col("value") > F.col("most")).cast("int").alias("label")), "label", "event_id"))
+
+
 @query("SELECT l_orderkey, l_partkey, coalesce(nullif(l_returnflag, 'N'), 'CNA') AS flag, coalesce(CASE WHEN l_tax > 0.02 THEN round(l_tax, 4) END, 0) AS tax FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND nullif(l_discount, 0) IS NOT NULL")
 def prj_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ05-PRJ08"""

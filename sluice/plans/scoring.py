@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators import features as FE
 from sluice.operators import models as ML
 from sluice.operators import scores as SP
+from sluice.operators.ranks import curve_areas
 from sluice.plans.base import query, r4, table
 from sluice.plans.monitoring import _CONF, _PRED, actuals, predictions
 from sluice.plans.relational import _RATINGS, ratings
@@ -132,6 +133,14 @@ def ml_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r4(ML.auc(predictions(spark, sf_dir).join(actuals(spark, sf_dir), "o_orderkey"), "label", "value"), 6)
 
 
+@query("""WITH d AS (SELECT o_totalprice AS v, count(*) FILTER (o_orderstatus = 'F') AS pos, count(*) FILTER (o_orderstatus <> 'F') AS neg FROM orders GROUP BY 1),
+c AS (SELECT *, sum(pos) OVER (ORDER BY v DESC) AS tp, sum(neg) OVER (ORDER BY v DESC) AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM d)
+SELECT round(sum(pos * (n - fp + neg / 2)) / max(p * n), 6) AS auc, round(sum(pos / p * (tp / (tp + fp) + CASE WHEN tp + fp = pos + neg THEN tp / (tp + fp) ELSE (tp - pos) / (tp + fp - pos - neg) END) / 2), 6) AS auc_pr FROM c""")
+def ml_curve_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML06: both areas"""
+    return r4(curve_areas(predictions(spark, sf_dir).join(actuals(spark, sf_dir), "o_orderkey"), "label", "value"), 6)
+
+
 @query("SELECT round(sqrt(avg((l_extendedprice - l_quantity * 1500) ** 2)), 2) AS rmse, round(avg(abs(l_extendedprice - l_quantity * 1500)), 2) AS mae FROM lineitem")
 def ml_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML07"""
@@ -168,6 +177,21 @@ def ml_content_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r4(ML.content_similarity(table(spark, sf_dir, "part"), "p_partkey", ["p_brand", "p_type"], 0.3))
 
 
+@query("""WITH s AS (SELECT DISTINCT o_custkey AS c, date_trunc('month', o_orderdate) AS m FROM orders), n AS (SELECT c, count(*) AS n FROM s GROUP BY c), p AS (SELECT a.c AS item_a, b.c AS item_b, count(*) AS common FROM s a JOIN s b ON a.m = b.m AND a.c < b.c GROUP BY ALL)
+SELECT item_a, item_b, common, round(common / sqrt(x.n * y.n), 4) AS similarity FROM p JOIN n x ON x.c = item_a JOIN n y ON y.c = item_b WHERE common / sqrt(x.n * y.n) >= 0.55""")
+def ml_similar_buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML04: customers who buy in the same months"""
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.trunc("o_orderdate", "MM").alias("month"))
+    return r4(ML.similar_items(o, "month", "o_custkey", least=0.55))
+
+
+@query("""WITH k AS (SELECT p_brand, p_type, p_size, min(p_partkey) AS c FROM part GROUP BY ALL), j AS (SELECT a.c AS class_a, b.c AS class_b, ((a.p_brand = b.p_brand)::INT + (a.p_type = b.p_type)::INT + (a.p_size = b.p_size)::INT) AS m FROM k a, k b)
+SELECT class_a, class_b, round(m / (6 - m), 4) AS similarity FROM j WHERE m / (6 - m) >= 0.5""")
+def ml_content_two_of_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML13: classes of three attributes that share two"""
+    return r4(ML.content_similarity(table(spark, sf_dir, "part"), "p_partkey", ["p_brand", "p_type", "p_size"], 0.5))
+
+
 @query("SELECT count(*) AS n_rows, count(*) FILTER (o_orderstatus = 'F') AS n_positive, round(avg((o_orderstatus = 'F')::INT), 4) AS positive_rate FROM orders")
 def ml_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML11"""

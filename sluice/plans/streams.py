@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.quality import Rule
 from sluice.plans.base import query, r4
+from sluice.sources.tables import shared_folder
 from sluice.streaming import streams as ST
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the one that spark.checkpoint.dir names. Where that is unset, a temporary one on a single machine, as in
-    tests; on a cluster an error, as executors don't share such a folder."""
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not where and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{(where or tempfile.mkdtemp(prefix='spark-', dir='/tmp')).rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.stream_source(spark, sf_dir, EVENTS, pathGlobFilter="events.parquet")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,6 +91,30 @@ def create_partitioned_table(spark: SparkSession, name: str, columns: list[tuple
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING {fmt}" + (f" PARTITIONED BY ({parts})" if parts else ""))
 
 
+def shared_folder(spark: SparkSession, name: str = "stream") -> str:
+    """A new folder in the one that spark.checkpoint.dir names. Where that is unset, a temporary one on a single machine, as in
+    tests; on a cluster an error, as executors don't share such a folder."""
+    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not where and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(where or tempfile.mkdtemp(prefix='spark-', dir='/tmp')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: computed once, and whole when executors are lost."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a stored() frame that nothing reads any more."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a job has finished writing path, in whatever store Spark reaches."""
     mark = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
