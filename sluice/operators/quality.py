@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -95,6 +96,11 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
         stats = df.agg(*(f(c).alias(f"_{n}_{c}") for c in z for n, f in (("m", F.avg), ("s", F.stddev))))
         df = df.join(F.broadcast(stats)).withColumns({f"_z_{c}": F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")) for c in z})
     found = df.agg(*(a.alias(f"{n}{k}") for k, r in enumerate(rules) for n, a in zip("pt", _aggregates(r), strict=True)))
+    return _results(found, rules)
+
+
+def _results(found: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row (p0, t0, p1, t1, ...) as a row per rule."""
     rows = F.array(*(
         F.struct(
             F.lit(r.name).alias("rule"), F.lit(r.kind).alias("kind"), F.lit(r.severity).alias("severity"),
@@ -111,6 +117,69 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
+#: Parameters of the sketches that merge: of distinct values 2**16 registers (relative error 0.5 %), of quantiles k = 800 (rank error 0.4 %).
+DISTINCT_LG, QUANTILE_K = 16, 800
+
+
+def state_of(df: DataFrame, rules: list[Rule], exact: bool = True) -> dict[str, DataFrame]:
+    """STR05, DQ12: what the rules need to know of a part of the data so that parts can be judged together: "sums", one row of counts,
+    maxima, moments and sketches, and, if exact, "keys<k>" for each uniqueness rule: its distinct values with their number."""
+    cols, out = [F.count(F.lit(1)).alias("total")], {}
+    for k, r in enumerate(x for x in rules if x.enabled):
+        key, x = F.struct(*r.columns), F.col(r.columns[0])
+        if r.kind == "uniqueness" and exact:
+            out[f"keys{k}"] = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_n"))
+        elif r.kind == "uniqueness":
+            cols.append(F.hll_sketch_agg(F.xxhash64(F.to_json(key, {"ignoreNullFields": "false"})), DISTINCT_LG).alias(f"h{k}"))
+        elif r.kind == "freshness":
+            cols.append(F.max(x.cast("timestamp")).alias(f"m{k}"))
+        elif r.kind == "outlier":
+            v = x.cast("double")
+            cols += [F.count(v).alias(f"n{k}"), F.avg(v).alias(f"a{k}"), F.var_pop(v).alias(f"v{k}"), F.kll_sketch_agg_double(v, QUANTILE_K).alias(f"q{k}")]
+        else:
+            cols.append(F.count_if(_row_predicate(r)).alias(f"p{k}"))
+    return {"sums": df.agg(*cols)} | out
+
+
+def merged_results(state: Callable[[str], DataFrame], rules: list[Rule], exact: bool = True) -> DataFrame:
+    """STR05: the results of validate(), from the states of all parts; state: gives the stored frames of a name. Freshness, range,
+    pattern and completeness are exact, so is uniqueness if exact; else it is estimated, and so is the share of outliers always: mean and
+    deviation are exact, how many values lie within is read off the merged quantiles."""
+    rules = [r for r in rules if r.enabled]
+    sums = state("sums")
+    means = [k for k, r in enumerate(rules) if r.kind == "outlier"]
+    if means:  # the mean of all parts, next to each part's own moments
+        whole = sums.agg(*(F.try_divide(F.sum(F.col(f"a{k}") * F.col(f"n{k}")), F.sum(f"n{k}")).alias(f"w{k}") for k in means))
+        sums = sums.join(F.broadcast(whole))
+    aggs, last = [F.sum("total").alias("total")], {}
+    for k, r in enumerate(rules):
+        if r.kind == "uniqueness" and not exact:
+            aggs.append(F.hll_sketch_estimate(F.hll_union_agg(f"h{k}")).alias(f"d{k}"))
+            last[k] = F.least(F.col(f"d{k}"), F.col("total"))
+        elif r.kind == "freshness":
+            aggs.append(F.max(f"m{k}").alias(f"m{k}"))
+            hours = (F.lit(r.as_of).cast("timestamp").cast("double") - F.col(f"m{k}").cast("double")) / 3600
+            last[k] = F.when(hours <= r.max_hours, F.col("total")).otherwise(0)
+        elif r.kind == "outlier":
+            squares = F.sum(F.col(f"n{k}") * (F.col(f"v{k}") + (F.col(f"a{k}") - F.col(f"w{k}")) ** 2))
+            aggs += [F.sum(f"n{k}").alias(f"n{k}"), F.max(f"w{k}").alias(f"w{k}"), F.sqrt(F.try_divide(squares, F.sum(f"n{k}") - 1)).alias(f"s{k}"), F.kll_merge_agg_double(f"q{k}", QUANTILE_K).alias(f"q{k}")]
+            n, w, s = F.col(f"n{k}"), F.col(f"w{k}"), F.col(f"s{k}")
+            steps = F.kll_sketch_get_quantile_double(f"q{k}", F.array(*(F.lit((i + 0.5) / 1000) for i in range(1000))))
+            inside = F.size(F.filter(steps, lambda x: F.abs(x - w) <= r.max_z * s)) / 1000  # noqa: B023  a thousandth of the values each; called at once
+            last[k] = F.when((n < 2) | (s == 0), F.col("total")).otherwise(F.col("total") - n + F.round(inside * n).cast("long"))
+        elif r.kind != "uniqueness":
+            aggs.append(F.sum(f"p{k}").alias(f"p{k}"))
+            last[k] = F.col(f"p{k}")
+    found = sums.agg(*aggs)
+    for k, r in enumerate(rules):
+        if r.kind == "uniqueness" and exact:
+            found = found.join(F.broadcast(state(f"keys{k}").groupBy(*r.columns).agg(F.lit(1).alias("_one")).agg(F.count(F.lit(1)).alias(f"d{k}"))))
+            last[k] = F.col(f"d{k}")
+    total = F.coalesce("total", F.lit(0)).cast("long")
+    each = [F.coalesce(last[k], F.lit(0)).cast("long").alias(f"p{k}") for k in range(len(rules))]
+    return _results(found.select(*each, *(total.alias(f"t{k}") for k in range(len(rules)))), rules)
+
+
 def enforce(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """DQ08, fail fast: raises QualityError if a rule of severity error fails; the results otherwise. Reads one row a rule."""
     out = validate(df, rules)
