@@ -18,26 +18,43 @@ WINDOWS = {"7d": (7 * 86_400, 10_080), "24h": (86_400, 1_440), "1h": (3_600, 60)
 AMOUNTS = [(50.0, "small"), (500.0, "medium"), (2000.0, "large")]
 
 
-def transaction_features(tx: DataFrame, customer: str, merchant: str, amount: str, ts: str, tx_id: str, label: str, frame: str = "time", leave_one_out: bool = False) -> DataFrame:
+def transaction_features(tx: DataFrame, customer: str, merchant: str, amount: str, ts: str, tx_id: str, label: str, frame: str = "time", leave_one_out: bool = False, slice_days: int = 28) -> DataFrame:
     """FE01, WN01-WN05: rolling count, sum, mean and deviation per customer, z-score, calendar flags, amount class, days since
     the first transaction, the customer's mean, and the merchant's label rate and count.
 
-    All customer windows share one exchange and one sort. A merchant may have any share of the rows, so its figures are an aggregate,
-    combined before its shuffle, and joined back. frame "time" has ranges of seconds, both ends in; "rows" counts rows by
-    (ts, tx_id). Means are sums over counts: exact for decimal amounts."""
-    seconds = F.col(ts).cast("timestamp").cast("long")
-    by_time = Window.partitionBy(customer).orderBy(seconds)
-    by_row = Window.partitionBy(customer).orderBy(F.col(ts), F.col(tx_id))
+    A customer may have any share of the rows: with frame "time" (ranges of seconds, both ends in) windows are taken within slices
+    of slice_days of a customer's time, to which the rows of the longest window before them are copied, so that a customer's slices
+    are dealt to many tasks. The customer's own figures are an aggregate, combined before its shuffle, which meets the rows slice
+    by slice where they are. With frame "rows" (counts of rows by (ts, tx_id)) a customer is one task's. A merchant may have any share
+    too: its figures are an aggregate joined back. Means are sums over counts: exact for decimal amounts."""
+    longest = max(width for width, _ in WINDOWS.values())
+    length = slice_days * 86_400
+    if length < longest:
+        raise ValueError("a slice must hold the longest window")
+    at, own, key, again, total, n_all, first = clear_names(tx, "at", "own", "key", "again", "total", "n", "first")
+    x, seconds = F.col(amount), F.col(ts).cast("timestamp").cast("long")
+    number = F.floor(seconds / length) if frame == "time" else F.lit(0).cast("long")
+    rows = tx.withColumns({at: seconds, own: number})
+    # Structs hold nulls as values: unknown customers and times are groups like others.
+    slices = rows.groupBy(F.struct(F.col(customer).alias("c"), F.col(own).alias("s")).alias(key)).agg(F.count(x).alias(n_all), F.sum(x).alias(total), F.min(ts).alias(first))
+    customers = slices.groupBy(F.struct(F.col(f"{key}.c").alias("c")).alias(own)).agg(F.sum(n_all).alias(n_all), F.sum(total).alias(total), F.min(first).alias(first))
+    of_slice = slices.select(key, F.struct(F.col(f"{key}.c").alias("c")).alias(own)).join(customers, own).drop(own)
+    if frame == "time":
+        halo = F.when(F.pmod(F.col(at), F.lit(length)) >= length - longest, F.array(F.col(own), F.col(own) + 1)).otherwise(F.array(own))
+        rows = rows.withColumn(again, F.explode(halo))
+    else:
+        rows = rows.withColumn(again, F.col(own))
+    rows = rows.withColumn(key, F.struct(F.col(customer).alias("c"), F.col(again).alias("s")))
+    by_time, by_row = Window.partitionBy(key).orderBy(at), Window.partitionBy(key).orderBy(F.col(ts), F.col(tx_id))
     cols: dict[str, Column] = {}
-    x = F.col(amount)
-    for name, (width, rows) in WINDOWS.items():
-        w = by_time.rangeBetween(-width, 0) if frame == "time" else by_row.rowsBetween(-rows, 0)
+    for name, (width, n_rows) in WINDOWS.items():
+        w = by_time.rangeBetween(-width, 0) if frame == "time" else by_row.rowsBetween(-n_rows, 0)
         cols |= {f"count_{name}": F.count(x).over(w), f"sum_{name}": F.sum(x).over(w), f"avg_{name}": F.try_divide(F.sum(x).over(w).cast("double"), F.count(x).over(w)), f"std_{name}": F.stddev(x).over(w)}
-    own = Window.partitionBy(customer)
-    cols |= {"customer_avg": F.try_divide(F.sum(x).over(own).cast("double"), F.count(x).over(own)), "days_since_first": F.datediff(F.col(ts), F.min(ts).over(own))}
+    out = rows.withColumns(cols).where(F.col(again).eqNullSafe(F.col(own))).join(of_slice, key)
+    out = out.withColumns({"customer_avg": F.try_divide(F.col(total).cast("double"), F.col(n_all)), "days_since_first": F.datediff(F.col(ts), F.col(first))}).drop(at, own, key, again, total, n_all, first)
     shop, labels = clear_names(tx, "shop", "labels")
     shops = tx.groupBy(F.col(merchant).alias(shop)).agg(F.count(F.lit(1)).alias("merchant_count"), F.sum(label).alias(labels))
-    out = tx.withColumns(cols).join(shops, F.col(merchant).eqNullSafe(F.col(shop)))
+    out = out.join(shops, F.col(merchant).eqNullSafe(F.col(shop)))
     n, s = F.col("merchant_count"), F.col(labels)
     out = out.withColumn("merchant_rate", F.try_divide(s - F.col(label), n - 1) if leave_one_out else s / n).drop(shop, labels)
     z = F.when(F.col("std_7d") > 0, (x.cast("double") - F.col("avg_7d")) / F.col("std_7d")).otherwise(0.0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions import expressions as X
 from sluice.operators import features as FE
 from sluice.operators import models as ML
+from sluice.operators.months import cohort_windows
 from sluice.plans.base import query, r4, table
 from sluice.sources import tables as T
 
@@ -44,6 +45,17 @@ def fe_transaction_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ALL = {"7d": "7 DAYS", "24h": "1 DAY", "1h": "1 HOUR"}
+
+
+@query("WITH t AS (SELECT event_id, user_id, event_type, ts, value::DECIMAL(12, 2) AS x FROM events) SELECT event_id, " + ", ".join(f"count(x) OVER w{n} AS count_{n}, (sum(x) OVER w{n})::DOUBLE AS sum_{n}, (sum(x) OVER w{n})::DOUBLE / count(x) OVER w{n} AS avg_{n}, round(stddev(x::DOUBLE) OVER w{n}, 4) AS std_{n}" for n in _ALL) + ", hour(ts) AS hour FROM t WINDOW " + ", ".join(f"w{n} AS (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000000 RANGE BETWEEN {s} PRECEDING AND CURRENT ROW)" for n, s in (("7d", 604_800), ("24h", 86_400), ("1h", 3_600))))
+def fe_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FE01, WN02: all windows of events by the second, with their deviations"""
+    e = table(spark, sf_dir, "events").withColumns({"value": F.col("value").cast("decimal(12, 2)"), "label": F.lit(0)})
+    f = FE.transaction_features(e, "user_id", "event_type", "value", "ts", "event_id", "label")
+    return f.select("event_id", *(F.col(f"count_{n}") if c == "count" else (F.round(f"std_{n}", 4) + F.lit(0.0)).alias(f"std_{n}") if c == "std" else F.col(f"{c}_{n}").cast("double").alias(f"{c}_{n}") for n in _ALL for c in ("count", "sum", "avg", "std")), F.col("hour").cast("long").alias("hour"))
+
+
 @query("""
 SELECT o_orderkey, count(o_totalprice) OVER w AS count_1h, (sum(o_totalprice::DECIMAL(12, 2)) OVER w)::DOUBLE AS sum_1h, (sum(o_totalprice::DECIMAL(12, 2)) OVER w)::DOUBLE / count(o_totalprice) OVER w AS avg_1h FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 60 PRECEDING AND CURRENT ROW)
@@ -263,6 +275,32 @@ def fe_window_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("k", F.col("vintage").cast("string").alias("vintage"), *(F.round(c, d).alias(c) for c, d in digits.items()))
 
 
+def exact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, sf_dir).withColumn("x", F.col("x").cast("decimal(12, 2)"))
+
+
+_EXACT = _COHORT.replace("o_totalprice AS x", "o_totalprice::DECIMAL(12, 2) AS x")
+_SUMMED = ", ".join(f"(sum(x) FILTER (months_back <= {w}))::DOUBLE AS sum_x_{w}m, (sum(x) FILTER (months_back <= {w}))::DOUBLE / count(x) FILTER (months_back <= {w}) AS mean_x_{w}m" for w in (1, 3, 6, 12))
+
+
+@query(_EXACT + f", w AS (SELECT k, vintage::VARCHAR AS vintage, {_SUMMED} FROM j GROUP BY k, vintage) SELECT *, mean_x_1m / mean_x_12m AS ratio_x_1m_12m, mean_x_3m / mean_x_12m AS ratio_x_3m_12m FROM w")
+def fe_window_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FE07, FE08: from running sums of months, exact to the last digit"""
+    out = cohort_windows(_cohort(spark, sf_dir), exact_history(spark, sf_dir), "k", "vintage", "snapshot", ["x"], [1, 3, 6, 12], ("sum", "mean"))
+    out = FE.window_ratios(out, ["x"], [1, 3, 6, 12])
+    return out.select("k", F.col("vintage").cast("string").alias("vintage"), *(F.col(f"{f}_x_{w}m").cast("double").alias(f"{f}_x_{w}m") for w in (1, 3, 6, 12) for f in ("sum", "mean")), "ratio_x_1m_12m", "ratio_x_3m_12m")
+
+
+_WINDOWED = [1, 2, 3, 6, 9, 12]
+
+
+@query(_COHORT + "SELECT k, vintage::VARCHAR AS vintage, " + ", ".join(f"round(min(x) FILTER (months_back <= {w}), 2) AS min_x_{w}m, round(max(x) FILTER (months_back <= {w}), 2) AS max_x_{w}m, round(stddev(x) FILTER (months_back <= {w}), 2) AS std_x_{w}m, count(x) FILTER (months_back <= {w}) AS count_x_{w}m" for w in _WINDOWED) + " FROM j GROUP BY k, vintage")
+def fe_many_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FE07: six windows of four functions, from one index of months"""
+    out = cohort_windows(_cohort(spark, sf_dir), _history(spark, sf_dir), "k", "vintage", "snapshot", ["x"], _WINDOWED, ("min", "max", "std", "count"))
+    return out.select("k", F.col("vintage").cast("string").alias("vintage"), *(F.col(f"count_x_{w}m") if f == "count" else (F.round(f"{f}_x_{w}m", 2) + F.lit(0.0)).alias(f"{f}_x_{w}m") for w in _WINDOWED for f in ("min", "max", "std", "count")))
+
+
 @query(_COHORT + "SELECT k, vintage::VARCHAR AS vintage, round(max(x) FILTER (months_back = 1), 2) AS x_1, round(max(x) FILTER (months_back = 2), 2) AS x_2, count(x) AS n FROM j GROUP BY k, vintage")
 def ag_pivot_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG12, AG13"""
