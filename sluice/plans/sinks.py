@@ -13,6 +13,7 @@ from sluice.operators import arrival as AR
 from sluice.operators import drift as DR
 from sluice.operators import features as FE
 from sluice.operators import models as ML
+from sluice.operators import profiles as PR
 from sluice.operators import quality as DQ
 from sluice.plans.base import query, r4, table
 from sluice.plans.streams import events, shared_folder
@@ -208,3 +209,46 @@ def ml_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = ML.top_users(ML.train_als(r, "u", "i", "rating", ranks=(4, 5), regs=(0.1, 1.0), iterations=2), "u", "i", 20)
     each = top.groupBy("i").agg(F.count_distinct("u").alias("n"), F.min("rating").alias("least"))
     return each.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("rows"), F.count_if(F.col("least").isNotNull()).alias("ordered"))
+
+
+@query("""WITH o AS (SELECT o_orderpriority AS priority, o_totalprice FROM orders UNION ALL SELECT o_orderpriority, o_totalprice FROM orders WHERE o_orderkey % 10 = 0)
+SELECT priority, count(*) AS n, 3::BIGINT AS made FROM o GROUP BY priority""")
+def snk_materialise_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK07: made once, read while nothing changes, made again when the input has more rows and when the code is another"""
+    at, o, made = shared_folder(spark), _orders(spark, sf_dir), []
+    T.write(o, f"{at}/in")
+
+    def step(version: str) -> DataFrame:
+        make = lambda: made.append(1) or T.read(spark, f"{at}/in").groupBy("priority").agg(F.count(F.lit(1)).alias("n"))
+        return T.materialize(spark, f"{at}/out", make, inputs=[f"{at}/in"], version=version)
+
+    step("1")
+    step("1")
+    T.write(o.where("o_orderkey % 10 = 0"), f"{at}/in", mode="append")
+    step("1")
+    return step("2").select("priority", "n", F.lit(len(made)).cast("long").alias("made"))
+
+
+_PROFILED = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS o_orderstatus FROM orders)
+""" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS total, count(*) - count({c}) AS nulls, " + (f"round(avg({c}), 2) AS mean, round(stddev({c}), 2) AS stddev, round(min({c}), 2)::DOUBLE::VARCHAR AS min, " if c in ("o_orderkey", "o_custkey", "o_totalprice") else f"NULL::DOUBLE, NULL::DOUBLE, min({c}), ") + "true AS distinct_ok, true AS percentiles_ok FROM o" for c in _PROFILED))
+def dq_profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ10, DR04: the years' states, the last one added later, merged. The sketches are held against exact figures: distinct values
+    within 2 %, ranks of percentiles within 1 %"""
+    o = table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus")))
+    at, year = shared_folder(spark), F.year("o_orderdate")
+    last = F.year(F.lit("1998-01-01").cast("date"))
+    PR.store_states(PR.profile_states(o.where(year < last), year, _PROFILED), at)
+    PR.store_states(PR.profile_states(o.where(year >= last), year, _PROFILED), at)
+    found = PR.merged_profile(PR.stored_states(spark, at))
+    exact = o.agg(*(F.count_distinct(c).alias(c) for c in _PROFILED)).unpivot([], _PROFILED, "column", "exact")
+    marks = found.where("p50 is not null").select("column", F.explode(F.array(*(F.struct(F.lit(p / 100).alias("p"), F.col(f"p{p}").alias("x")) for p in DR.PERCENTS))).alias("m")).select("column", "m.*")
+    values = o.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in _PROFILED[:3]))))
+    ranks = values.join(F.broadcast(marks), "column").groupBy("column", "p").agg(F.avg((F.col("v") < F.col("x")).cast("int")).alias("lo"), F.avg((F.col("v") <= F.col("x")).cast("int")).alias("hi"))
+    ranks = ranks.groupBy("column").agg(F.bool_and((F.col("lo") <= F.col("p") + 0.01) & (F.col("hi") >= F.col("p") - 0.01)).alias("percentiles_ok"))
+    out = found.join(exact, "column").join(ranks, "column", "left")
+    number = F.col("p50").isNotNull()
+    low = F.when(number, F.round(F.col("min").cast("double"), 2).cast("string"))
+    return out.select("column", "total", "nulls", F.round("mean", 2).alias("mean"), F.round("stddev", 2).alias("stddev"), F.coalesce(low, F.col("min")).alias("min"), (F.abs(F.col("distinct") - F.col("exact")) <= 0.02 * F.col("exact")).alias("distinct_ok"), F.coalesce("percentiles_ok", F.lit(True)).alias("percentiles_ok"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from types import CodeType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,10 +124,59 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return bool(mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark))
 
 
-def materialize(spark: SparkSession, path: str, make: Callable[[], DataFrame], partition_by: list[str] | None = None) -> DataFrame:
-    """SNK07: reads path if it is complete, else makes it, writes it and reads it back."""
-    if not is_complete(spark, path):
+def fingerprint(spark: SparkSession, inputs: list[str]) -> dict[str, int | str]:
+    """How many files some paths hold, how many bytes, and a sum of hashes of their names, sizes and times; the listing is Spark's own, and one
+    row reaches the driver."""
+    if not inputs:
+        return {"files": 0, "bytes": 0, "digest": "0"}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inputs).select("path", "length", "modificationTime")
+    n, size, mark = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38, 0)")), F.lit(0).cast("decimal(38, 0)"))).first()
+    return {"files": n, "bytes": size, "digest": str(mark)}
+
+
+def code_version(make: Callable) -> str:
+    """A digest of a function's code and of the functions written inside it; what it calls is not in it."""
+
+    def parts(code: CodeType) -> list[str]:
+        return [code.co_code.hex(), repr(code.co_names), *(x for c in code.co_consts for x in (parts(c) if isinstance(c, CodeType) else [repr(c)]))]
+
+    return hashlib.sha256("\n".join(parts(make.__code__)).encode()).hexdigest()
+
+
+def _manifest(spark: SparkSession, path: str, text: str | None = None, drop: bool = False) -> str | None:
+    """Reads, writes or drops the manifest of path, a file that readers of data pass over."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, "_MANIFEST")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if drop:
+        fs.delete(at, False)
+    elif text is not None:
+        out = fs.create(at, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+    elif fs.exists(at):
+        source = fs.open(at)
+        try:
+            return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+    return None
+
+
+def materialize(spark: SparkSession, path: str, make: Callable[[], DataFrame], partition_by: list[str] | None = None, inputs: list[str] | None = None, version: str | None = None) -> DataFrame:
+    """SNK07: reads path if it is complete, else makes it, writes it and reads it back.
+
+    inputs: the paths that make() reads. With them, a manifest beside the data says what files these were, with sizes and times, and
+    of what version the code was (by default a digest of make's own code); where either has changed, or the manifest is missing, the data
+    is made again. The manifest is dropped before the data is touched and written after it, so that a run that breaks off leaves none."""
+    if inputs is None:
+        if not is_complete(spark, path):
+            write(make(), path, mode="overwrite", partition_by=partition_by)
+        return spark.read.parquet(path)
+    want = json.dumps(fingerprint(spark, inputs) | {"version": version or code_version(make)}, sort_keys=True)
+    if not is_complete(spark, path) or _manifest(spark, path) != want:
+        _manifest(spark, path, drop=True)
         write(make(), path, mode="overwrite", partition_by=partition_by)
+        _manifest(spark, path, want)
     return spark.read.parquet(path)
 
 
