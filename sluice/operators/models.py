@@ -21,11 +21,16 @@ from sluice.operators.similarity import similar_sets
 
 def encode(df: DataFrame, columns: list[str]) -> tuple[DataFrame, PipelineModel]:
     """FE02: <c>_index by descending frequency, ties alphabetical, and <c>_onehot; unknown and null values get the last index."""
-    stages = [StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_onehot" for c in columns])]
-    model = Pipeline(stages=stages).fit(df)
+    model = encode_fit(df, columns)
     return model.transform(df), model
 
 
+def encode_fit(df: DataFrame, columns: list[str]) -> PipelineModel:
+    """FE02: the encoding alone, for frames other than the one that it is learned from."""
+    stages = [StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_onehot" for c in columns])]
+    return Pipeline(stages=stages).fit(df)
+
+
 def assemble_scaled(columns: list[str]) -> Pipeline:
     """FE03: a vector of the columns, standardised by mean and deviation."""
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="raw_features", handleInvalid="skip"), StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])
@@ -69,6 +74,16 @@ def ensemble(scored: list[DataFrame], key: str) -> DataFrame:
     return out.select(key, (sum(F.col(f"_p{k}") for k in range(len(scored))) / len(scored)).alias("p"))
 
 
+def score_all(df: DataFrame, models: dict[str, Transformer], keep: list[str], mean: str | None = "ensemble") -> DataFrame:
+    """ML10, ML12: keep..., and the probability of 1 by each model under its name, and their mean. The models go over the same rows one
+    after the other; nothing is joined, so rows need no key."""
+    made = ["raw_features", "features", "rawPrediction", "probability", "prediction"]
+    out = df
+    for name, m in models.items():
+        out = m.transform(out).withColumn(name, vector_to_array("probability")[1]).drop(*made)
+    return out.select(*keep, *models, *([(sum(F.col(n) for n in models) / len(models)).alias(mean)] if mean else []))
+
+
 def save(model: PipelineModel, path: str) -> None:
     """SNK06"""
     model.write().overwrite().save(path)
@@ -114,13 +129,15 @@ def performance(predictions: DataFrame, actuals: DataFrame, key: str, label: str
     return confusion(predictions.join(actuals, key), label, prediction).withColumn("degraded", F.col("accuracy") < threshold)
 
 
-def train_als(ratings: DataFrame, user: str, item: str, rating: str, ranks: tuple[int, ...] = (5,), regs: tuple[float, ...] = (0.1,), iterations: int = 3, folds: int = 2, seed: int = 42) -> ALSModel:
-    """ML02: non-negative factors, unknown ids dropped; cross-validated only where there is a choice. Ids are integers."""
-    als = ALS(userCol=user, itemCol=item, ratingCol=rating, maxIter=iterations, nonnegative=True, coldStartStrategy="drop", seed=seed)
-    if len(ranks) * len(regs) == 1:
-        return als.setRank(ranks[0]).setRegParam(regs[0]).fit(ratings)
-    grid = ParamGridBuilder().addGrid(als.rank, ranks).addGrid(als.regParam, regs).build()
-    return CrossValidator(estimator=als, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=rating), numFolds=folds, seed=seed).fit(ratings).bestModel
+def train_als(ratings: DataFrame, user: str, item: str, rating: str, ranks: tuple[int, ...] = (5,), regs: tuple[float, ...] = (0.1,), iterations: int | tuple[int, ...] = 3, folds: int = 2, seed: int = 42) -> ALSModel:
+    """ML02: non-negative factors, unknown ids dropped; cross-validated over ranks, regularisations and iterations where there is a
+    choice. Ids are integers."""
+    als = ALS(userCol=user, itemCol=item, ratingCol=rating, nonnegative=True, coldStartStrategy="drop", seed=seed)
+    steps = (iterations,) if isinstance(iterations, int) else iterations
+    if len(ranks) * len(regs) * len(steps) == 1:
+        return als.setRank(ranks[0]).setRegParam(regs[0]).setMaxIter(steps[0]).fit(ratings)
+    grid = ParamGridBuilder().addGrid(als.rank, ranks).addGrid(als.regParam, regs).addGrid(als.maxIter, steps).build()
+    return CrossValidator(estimator=als, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=rating), numFolds=folds, parallelism=2, seed=seed).fit(ratings).bestModel
 
 
 def recommend(model: ALSModel, user: str, item: str, n: int, as_of: str) -> DataFrame:
@@ -131,8 +148,8 @@ def recommend(model: ALSModel, user: str, item: str, n: int, as_of: str) -> Data
 
 
 def top_users(model: ALSModel, user: str, item: str, n: int) -> DataFrame:
-    """ML04: the n best users of every item."""
-    return model.recommendForAllItems(n).select(item, F.inline("recommendations"))
+    """ML04: (item, rank, user, rating): the n best users of every item, in the model's order."""
+    return model.recommendForAllItems(n).select(item, F.posexplode("recommendations").alias("rank", "r")).select(item, (F.col("rank") + 1).alias("rank"), "r.*")
 
 
 def similar_items(ratings: DataFrame, user: str, item: str, least: float = 0.7, least_common: int = 1, block_items: int = 1000) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sluice.operators import features as FE
 from sluice.operators import models as ML
@@ -12,6 +13,7 @@ from sluice.operators.ranks import curve_areas
 from sluice.plans.base import query, r4, table
 from sluice.plans.monitoring import _CONF, _PRED, actuals, predictions
 from sluice.plans.relational import _RATINGS, ratings
+from sluice.sources import tables as T
 
 
 @query("SELECT o_orderkey, ntile(4) OVER (ORDER BY o_totalprice, o_orderkey) AS quartile, ntile(10) OVER (ORDER BY o_totalprice, o_orderkey) AS decile FROM orders")
@@ -216,8 +218,8 @@ def ml_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = _training(spark, sf_dir)
     train, test = x.where("not is_test"), x.where("is_test").withColumn("row", F.concat_ws(":", "l_orderkey", "l_linenumber"))
     names = ["l_quantity", "l_discount"]
-    models = [ML.train_classifier(train, names, "label", depths=(2, 3), folds=2), ML.train_forest(train, names, "label", trees=5)]
-    return ML.ensemble([ML.score(test, m, "row") for m in models], "row")
+    models = {"boosted": ML.train_classifier(train, names, "label", depths=(2, 3), folds=2), "forest": ML.train_forest(train, names, "label", trees=5)}
+    return ML.score_all(test, models, ["row"], "p").select("row", "p")
 
 
 @query()
@@ -231,3 +233,55 @@ def ml_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML05"""
     return ML.cluster(table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"], k=8).select("p_partkey", "cluster")
+
+
+_TRUTH = "l_quantity * (1 - l_discount) > 24"
+_TEST = f"md5(l_orderkey::VARCHAR) < '{FE.share_bound(0.2)}'"
+
+
+@query(f"""WITH t AS (SELECT count(*) AS n FROM lineitem WHERE {_TEST}) SELECT m.*, n FROM t, (VALUES ('boosted', 1, true), ('forest', 1, true), ('ensemble', 1, true), ('saved', 1, true), ('l_quantity', 1, true), ('l_discount', 2, true), ('importance adds up', 0, true)) m(subject, place, holds)""")
+def ml_models_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML01, ML09, ML10, ML12, SNK06: what must hold of models that have learned: on rows kept out of the fit, areas of 0.97 or more; the
+    model that was saved and read again scores as before; the label's two columns are the most important of three, in order"""
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_discount", "l_tax", F.expr(_TRUTH).cast("int").alias("label"))
+    x = T.stored(FE.hash_split(x, "l_orderkey"), "training")
+    train, test, names = x.where("not is_test"), x.where("is_test"), ["l_quantity", "l_discount", "l_tax"]
+    models = {"boosted": ML.train_classifier(train, names, "label", depths=(2, 4), iterations=(5,), steps=(0.1, 0.3), folds=2), "forest": ML.train_forest(train, names, "label", trees=8)}
+    at = T.shared_folder(spark, "model")
+    ML.save(models["boosted"], at)
+    scored = T.stored(ML.score_all(test, models | {"saved": ML.load(at)}, ["label"], None).withColumn("ensemble", (F.col("boosted") + F.col("forest")) / 2), "scored")
+    n = scored.count()
+    areas = {m: ML.auc(scored, "label", m).first()["auc"] for m in ("boosted", "forest", "ensemble", "saved")}
+    same = scored.where("saved <> boosted").count() == 0
+    rows = [(m, 1, a >= 0.97 and (m != "saved" or same), n) for m, a in areas.items()]
+    weights = ML.feature_importance(models["boosted"], names).collect()
+    rows += [(w.feature, k, w.importance > 0.02, n) for k, w in enumerate(weights[:2], 1)]
+    rows.append(("importance adds up", 0, abs(sum(w.importance for w in weights) - 1) < 1e-9, n))
+    return spark.createDataFrame(rows, "subject string, place long, holds boolean, n long")
+
+
+@query(_RATINGS + """, f AS (SELECT u, i FROM r WHERE u IN (SELECT u FROM r GROUP BY u HAVING count(*) >= 5) AND i IN (SELECT i FROM r GROUP BY i HAVING count(*) >= 5))
+SELECT count(DISTINCT u) AS users, 5 * count(DISTINCT u) AS rows, count(DISTINCT u) AS ordered, count(DISTINCT u) AS of_known_items, true AS fits FROM f""")
+def ml_recommend_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML02, ML03, ST02, PRJ11: five items for every user, ranks 1 to 5 with ratings that never rise, all different and known; and the
+    factors explain the ratings they were fitted on far better than their mean does"""
+    r = FE.frequent_only(ratings(spark, sf_dir), "u", "i", 5, 5).select(F.col("u").cast("int").alias("u"), F.col("i").cast("int").alias("i"), F.col("rating").cast("float").alias("rating"))
+    r = T.stored(r, "ratings")
+    model = ML.train_als(r, "u", "i", "rating", ranks=(10,), regs=(0.05, 0.1), iterations=(4, 6))
+    recs = T.stored(ML.recommend(model, "u", "i", 5, "2002-01-01").join(F.broadcast(r.select("i", F.lit(1).alias("known")).distinct()), "i", "left"), "recommended")
+    falls = F.coalesce(F.col("rating") <= F.lag("rating").over(Window.partitionBy("u").orderBy("rank")), F.lit(True))
+    each = recs.withColumn("falls", falls).groupBy("u").agg(F.count(F.lit(1)).alias("n"), (F.bool_and("falls") & (F.min("rank") == 1) & (F.max("rank") == F.count(F.lit(1)))).alias("ordered"), (F.count_distinct("i") == F.count("known")).alias("known"))
+    fit = ML.regression_metrics(model.transform(r), "rating", "prediction").join(r.agg(F.stddev("rating").alias("sd"))).select((F.col("rmse") < 0.8 * F.col("sd")).alias("fits"))
+    return each.agg(F.count(F.lit(1)).alias("users"), F.sum("n").alias("rows"), F.count_if("ordered").alias("ordered"), F.count_if("known").alias("of_known_items")).join(fit)
+
+
+@query("SELECT count(*) AS n, 8::BIGINT AS clusters, true AS tight, true AS nearest FROM part")
+def ml_cluster_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML05: eight clusters, within which the squared distances are less than a fifth of those from the common mean, and nearly
+    every row is nearer to its own cluster's mean than to any other"""
+    p = T.stored(ML.cluster(ML.standardise(table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice"), ["p_size", "p_retailprice"]), ["p_size_scaled", "p_retailprice_scaled"], k=8), "clusters")
+    means = p.groupBy("cluster").agg(F.avg("p_size_scaled").alias("x"), F.avg("p_retailprice_scaled").alias("y"))
+    d = p.join(F.broadcast(means.withColumnRenamed("cluster", "to"))).withColumn("d", (F.col("p_size_scaled") - F.col("x")) ** 2 + (F.col("p_retailprice_scaled") - F.col("y")) ** 2)
+    each = d.groupBy("p_partkey", "cluster", "p_size_scaled", "p_retailprice_scaled").agg(F.min_by("to", "d").alias("to"), F.min(F.when(F.col("to") == F.col("cluster"), F.col("d"))).alias("own"))
+    total = F.sum(F.col("p_size_scaled") ** 2 + F.col("p_retailprice_scaled") ** 2)
+    return each.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("clusters"), (F.sum("own") < 0.2 * total).alias("tight"), (F.avg((F.col("to") == F.col("cluster")).cast("int")) > 0.97).alias("nearest"))

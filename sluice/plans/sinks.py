@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sluice.operators import arrival as AR
 from sluice.operators import drift as DR
@@ -207,8 +208,9 @@ def ml_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     r = ratings(spark, sf_dir).select(F.col("u").cast("int").alias("u"), F.col("i").cast("int").alias("i"), F.col("rating").cast("float").alias("rating"))
     top = ML.top_users(ML.train_als(r, "u", "i", "rating", ranks=(4, 5), regs=(0.1, 1.0), iterations=2), "u", "i", 20)
-    each = top.groupBy("i").agg(F.count_distinct("u").alias("n"), F.min("rating").alias("least"))
-    return each.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("rows"), F.count_if(F.col("least").isNotNull()).alias("ordered"))
+    falls = F.coalesce(F.col("rating") <= F.lag("rating").over(Window.partitionBy("i").orderBy("rank")), F.col("rating").isNotNull())
+    each = top.withColumn("falls", falls).groupBy("i").agg(F.count_distinct("u").alias("n"), F.bool_and("falls").alias("falls"))
+    return each.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("rows"), F.count_if("falls").alias("ordered"))
 
 
 @query("""WITH o AS (SELECT o_orderpriority AS priority, o_totalprice FROM orders UNION ALL SELECT o_orderpriority, o_totalprice FROM orders WHERE o_orderkey % 10 = 0)
