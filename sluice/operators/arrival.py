@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,6 +28,30 @@ def campaign_counts(df: DataFrame, table: str, campaign: str) -> DataFrame:
     return df.groupBy(F.coalesce(F.col(campaign), F.lit("CNA")).alias("campaign")).agg(F.count(F.lit(1)).alias("count")).select(F.lit(table).alias("table_name"), "campaign", "count")
 
 
+def day_spine(spark: SparkSession, start: str, end: str, name: str = "day") -> DataFrame:
+    """Calendar: a row for every day from start to end, both in; an error unless start is before end."""
+    if not date.fromisoformat(start) < date.fromisoformat(end):
+        raise ValueError("the start must be before the end")
+    return spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias(name))
+
+
+def with_every_day(counts: DataFrame) -> DataFrame:
+    """Calendar, JN03: the counts of each table's partitions with a row of 0 for every day without one, from its first day to its last."""
+    spine = counts.groupBy("table_name").agg(F.min("partition").alias("a"), F.max("partition").alias("b")).select("table_name", F.explode(F.sequence("a", "b")).alias("partition"))
+    return spine.join(counts, ["table_name", "partition"], "left").fillna(0, ["count"])
+
+
+def window_list(n_months: int, period: int) -> list[int]:
+    """Calendar, FE07: the windows of whole periods in n_months: 12 and 3 give 3, 6, 9 and 12."""
+    return list(range(period, n_months + 1, period))
+
+
+def process_month(day: str | None = None) -> str:
+    """Calendar: the month before a day's (today's by default), as yyyyMM."""
+    first = (date.fromisoformat(day) if day else date.today()).replace(day=1)
+    return f"{first - timedelta(days=1):%Y%m}"
+
+
 def newest(counts: DataFrame, n: int) -> DataFrame:
     """ST01: the n newest partitions of one table."""
     return counts.orderBy(F.desc("partition")).limit(n)

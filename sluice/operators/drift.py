@@ -107,9 +107,12 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 10, like: DataFrame
 
 def column_drift(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10, threshold: float = 0.1, formula: str = "ln") -> DataFrame:
     """DR07: (variable, psi, overall_psi, drifted, drift_detected): each column's index with the reference's bounds, their mean,
-    and whether they are over the threshold."""
-    ref, cur = (histogram(x, columns, bins, like=reference).withColumnRenamed("count", n) for x, n in ((reference, "ref"), (current, "cur")))
-    both = ref.join(cur, ["variable", "bin"], "full").fillna(0, ["ref", "cur"])
+    and whether they are over the threshold. The reference is read for the bounds and once more for the counts, which both sides
+    get from one aggregate."""
+    bounds = F.broadcast(_melted(reference, columns).groupBy("variable").agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
+    sides = _melted(reference, columns).withColumn("new", F.lit(0)).unionByName(_melted(current, columns).withColumn("new", F.lit(1)))
+    binned = sides.join(bounds, "variable").select("variable", "new", width_bin(F.col("x"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+    both = binned.groupBy("variable", "bin").agg(F.count_if(F.col("new") == 0).alias("ref"), F.count_if(F.col("new") == 1).alias("cur"))
     w = Window.partitionBy("variable")
     share = lambda c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.sum(c).over(w)), F.lit(0.0))
     terms = both.select("variable", stability_term(share("cur"), share("ref"), formula).alias("t"))

@@ -225,3 +225,12 @@ def ar_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ar_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DR10, PRJ08"""
     return AR.campaign_counts(table(spark, sf_dir, "lineitem").withColumn("c", F.nullif("l_returnflag", F.lit("N"))), "lines", "c")
+
+
+@query("""WITH c AS (SELECT o_orderdate::DATE AS d, count(*) AS n FROM orders WHERE o_orderkey % 5 = 0 GROUP BY ALL), s AS (SELECT unnest(range((SELECT min(d) FROM c)::TIMESTAMP, (SELECT max(d) FROM c)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS d)
+SELECT 'orders' AS table_name, s.d::VARCHAR AS partition, coalesce(n, 0) AS count FROM s LEFT JOIN c ON c.d = s.d""")
+def ar_every_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar, JN03: counts of every day, zeros included"""
+    o = table(spark, sf_dir, "orders")
+    fifth = AR.partition_counts(o.withColumn("day", F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderdate"))), "orders", F.col("day")).where("partition is not null")
+    return r4(AR.with_every_day(fifth))

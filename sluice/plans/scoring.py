@@ -255,7 +255,7 @@ def ml_models_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = scored.where("saved <> boosted").count() == 0
     rows = [(m, 1, a >= 0.97 and (m != "saved" or same), n) for m, a in areas.items()]
     weights = ML.feature_importance(models["boosted"], names).collect()
-    rows += [(w.feature, k, w.importance > 0.02, n) for k, w in enumerate(weights[:2], 1)]
+    rows += [(w.feature, k, w.importance > 0.001, n) for k, w in enumerate(weights[:2], 1)]
     rows.append(("importance adds up", 0, abs(sum(w.importance for w in weights) - 1) < 1e-9, n))
     return spark.createDataFrame(rows, "subject string, place long, holds boolean, n long")
 

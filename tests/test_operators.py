@@ -194,3 +194,17 @@ def test_similar_items_in_blocks(spark):
     rows = spark.range(3000).select((F.col("id") % 7).alias("u"), F.pmod(F.xxhash64("id"), F.lit(60)).alias("i"))
     whole, split = ({tuple(r) for r in ML.similar_items(rows, "u", "i", 0.1, block_items=k).collect()} for k in (1000, 7))
     assert whole == split and len(whole) > 100
+
+
+def test_calendar(spark):
+    assert [str(r[0]) for r in AR.day_spine(spark, "2024-02-28", "2024-03-01").collect()] == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    for end in ("2024-02-28", "2024-02-01"):
+        with pytest.raises(ValueError, match="start"):
+            AR.day_spine(spark, "2024-02-28", end)
+    assert AR.window_list(12, 3) == [3, 6, 9, 12] and AR.window_list(2, 3) == []
+    assert AR.process_month("2024-01-15") == "202312"
+
+
+def test_drift_of_an_empty_side(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"))
+    assert DR.column_drift(df, df.limit(0), ["x"]).first()["psi"] == 0
