@@ -63,6 +63,14 @@ def sizes_allow(similarity: float) -> Close:
     return lambda a, b: F.least(a("size"), b("size")) >= F.greatest(a("size"), b("size")) * F.lit(similarity) - F.lit(1e-9)
 
 
+#: How many features make a bucket where rows are dealt anew.
+AGREE_ANEW = 3
+
+
+def anew_key(features: list[Column]) -> Column:
+    return F.xxhash64(F.lit("r"), *features)
+
+
 def bucket_groups(
     keyed: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str, close: Close, carry: tuple[str, ...] = ("size",), deal_anew: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
@@ -76,8 +84,10 @@ def bucket_groups(
     different groups are, of which one is outside the bucket's largest group. The groups are those of all links, as a pair that
     is left out has both sides in one group. Keys are counted by partial aggregates, so a frequent key is no one task's load.
 
-    deal_anew: takes ids (id) and returns other buckets of theirs (id, key, carry...). It replaces buckets in which many rows are
-    outside the largest group: strangers who have something frequent in common, whose pairs would be their number squared."""
+    deal_anew: takes ids (id) and returns other buckets of theirs (id, key, carry..., f). It replaces buckets in which many rows are
+    outside the largest group: strangers who have something frequent in common, whose pairs would be their number squared. f: the
+    features, in one order for all, of which every AGREE_ANEW make a bucket by anew_key(); a pair that shares more of them is made once,
+    in the bucket of the first that it shares."""
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     buckets = stored(keyed.join(shared.hint("shuffle_hash"), "key"), f"{name}-buckets")
 
@@ -91,9 +101,11 @@ def bucket_groups(
     first = verify(tried)
     groups = stored(components(first, name, rounds=2), f"{name}-groups")  # what these don't join is only compared once more
 
+    extra = ["f"] if deal_anew else []
+
     def grouped(rows: DataFrame) -> DataFrame:
         g = rows.join(groups.withColumnRenamed("component", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
-        return stored(g.select("key", "id", *carry, "g"), f"{name}-buckets")
+        return stored(g.select("key", "id", *carry, "g", *extra), f"{name}-buckets")
 
     def parted(rows: DataFrame) -> DataFrame:
         """(key, top, others) of buckets with several groups: the largest, and how many rows are outside it."""
@@ -101,7 +113,7 @@ def bucket_groups(
         found = sizes.groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("top"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
         return stored(found, f"{name}-parted")
 
-    b = grouped(buckets)
+    b = grouped(buckets.withColumn("f", F.lit(None).cast("array<long>")) if deal_anew else buckets)
     most = parted(b)
     left = [b, most]
     if deal_anew:
@@ -115,9 +127,12 @@ def bucket_groups(
             left += [new, more]
             b, most = b.unionByName(new), most.unionByName(more)
     split = b.join(most, "key")
-    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", *carry, "g")))
-    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", *carry, "g")))
+    x = split.where("g <> top").select("key", *(F.col(c).alias(f"{c}_x") for c in ("id", *carry, "g", *extra)))
+    y = split.select("key", "top", *(F.col(c).alias(f"{c}_y") for c in ("id", *carry, "g", *extra)))
     once = (F.col("g_y") == F.col("top")) | (F.col("id_x") < F.col("id_y"))
+    if deal_anew:
+        common = F.array_intersect("f_x", "f_y")
+        once = once & (F.col("f_x").isNull() | (x["key"] == anew_key([F.get(common, k) for k in range(AGREE_ANEW)])))
     met = x.join(y, (x["key"] == y["key"]) & (F.col("g_x") != F.col("g_y")) & once & close(side("_x"), side("_y")))
     met = met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = stored(met, f"{name}-pairs")
