@@ -144,6 +144,12 @@ def test_similar_bounds(spark):
         pairs.append((" ".join(a), " ".join(b[: rnd.randint(1, len(b))] if rnd.random() < 0.3 else b)))
     n = lambda c: F.size(F.split(c, " "))
     df = spark.createDataFrame(pairs, "a string, b string").selectExpr("*", "a as ta", "b as tb").withColumns({"sa": F.when(n("a") >= 25.6, line_dedup.symbols(F.col("a"))), "sb": F.when(n("b") >= 25.6, line_dedup.symbols(F.col("b")))})
+    lengths = {"size_x": F.length("a"), "size_y": F.length("b"), "words_x": n("a"), "words_y": n("b")}
+    allowed = line_dedup.lengths_allow(0.8)(lambda c: F.col(f"{c}_x"), lambda c: F.col(f"{c}_y"))
+    for r in df.withColumns(lengths).select("a", "b", allowed.alias("allowed")).collect():
+        assert r["allowed"] or not alike(r["a"], r["b"])
+        x, y = r["a"].count(" ") + 1, r["b"].count(" ") + 1
+        assert not (r["allowed"] and max(x, y) >= 32 and abs(x - y) > max(x, y) // 5)
     got = df.select("a", "b", line_dedup._similar(0.8).alias("s")).collect()
 
     def want(a, b):
