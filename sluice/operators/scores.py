@@ -26,6 +26,14 @@ def normalise_scores(df: DataFrame, customer: str, score: str, score_date: str,
     return df.select(F.col(customer).alias("customer_id"), F.col(score).alias("score"), iso_utc(F.col(score_date)).alias("score_info_dt"), iso_utc(F.lit(process_date).cast("timestamp")).alias("score_process_dt"), F.lit(name).alias("score_name"))
 
 
+def decimal_text(c: Column, digits: int = 4) -> Column:
+    """A double rounded to `digits`, as plain digits with one or more after the point; what rounds to zero keeps its sign."""
+    r = F.round(c, digits)
+    zero = F.when(c.cast("string").startswith("-"), "-0.0").otherwise("0.0")
+    plain = F.regexp_replace(r.cast(f"decimal(38, {digits})").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(r == 0, zero).when(F.abs(r) < 1e15, plain).otherwise(r.cast("string"))
+
+
 def score_documents(df: DataFrame) -> DataFrame:
     """SP04: (customer_id, risk_score): one JSON document per row, from a nested struct in the contract's order of keys."""
     date = lambda c: F.struct(F.col(c).alias("$date"))
@@ -34,7 +42,7 @@ def score_documents(df: DataFrame) -> DataFrame:
         F.lit(True).alias("credit_approved_flag"),
         F.col("decile").alias("credit_score_decile_val"),
         F.col("quartile").alias("credit_score_quartile_val"),
-        F.struct(F.round("score", 4).cast("string").alias("$numberDecimal")).alias("score"),
+        F.struct(decimal_text(F.col("score")).alias("$numberDecimal")).alias("score"),
         date("score_info_dt").alias("score_info_dt"),
         F.col("score_name").alias("score_name"),
         date("score_process_dt").alias("score_process_dt"),
