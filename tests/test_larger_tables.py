@@ -1,9 +1,14 @@
 """What only larger tables or rarer values show: shapes of plans, and texts of numbers."""
 
+from itertools import combinations
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import features as FE
 from sluice.operators import scores as SP
+from sluice.operators import similarity as SM
 
 
 def plan(df):
@@ -23,3 +28,21 @@ def test_scores_are_written_as_plain_digits(spark):
     values = [-0.0, 0.0, 0.0001, -0.00003, 0.00001, 1234.5, -0.05, 12345678.5, 1e7]
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     assert [r[0] for r in df.select(SP.decimal_text(F.col("v"))).collect()] == ["-0.0", "0.0", "0.0001", "-0.0", "0.0", "1234.5", "-0.05", "12345678.5", "10000000.0"]
+
+
+@pytest.mark.parametrize(("few", "kind", "least"), [(512, "cosine", 0.55), (512, "jaccard", 0.3), (0, "cosine", 0.3), (0, "jaccard", 0.25), (0, "cosine", 0.6), (0, "jaccard", 0.7)])
+def test_similar_sets_by_every_way(spark, monkeypatch, few, kind, least):
+    """Products of matrices where features are few, lists and candidates where they are not: with blocks of a few rows, all as plain sets say."""
+    monkeypatch.setattr(SM, "FEW", few)
+    monkeypatch.setattr(SM, "_BLOCK", 7)
+    rng = np.random.default_rng(5)
+    sets = {k: frozenset(map(int, rng.choice(20, size=rng.integers(1, 9)))) for k in range(60)} | {k: frozenset({1, 2, 3}) for k in range(60, 65)}
+    rows = spark.createDataFrame([(k, f) for k, s in sets.items() for f in s], "x long, f long")
+    want = {}
+    for a, b in combinations(sets, 2):
+        c, na, nb = len(sets[a] & sets[b]), len(sets[a]), len(sets[b])
+        v = c / (na * nb) ** 0.5 if kind == "cosine" else c / (na + nb - c)
+        if v >= least:
+            want[a, b] = (c, round(v, 9))
+    got = SM.similar_sets(rows, "x", "f", least, kind, block=7).collect()
+    assert len(got) == len(want) and {(r.a, r.b): (r.common, round(r.similarity, 9)) for r in got} == want
