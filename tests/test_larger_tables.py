@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import features as FE
+from sluice.operators import models as ML
 from sluice.operators import scores as SP
 from sluice.operators import similarity as SM
 
@@ -46,3 +47,20 @@ def test_similar_sets_by_every_way(spark, monkeypatch, few, kind, least):
             want[a, b] = (c, round(v, 9))
     got = SM.similar_sets(rows, "x", "f", least, kind, block=7).collect()
     assert len(got) == len(want) and {(r.a, r.b): (r.common, round(r.similarity, 9)) for r in got} == want
+
+
+def test_boosted_trees_are_fitted_on_weighted_rows(spark, monkeypatch):
+    """Equal rows of a fold reach the fits as one row with their number, in parts of a bounded number of rows."""
+    seen = []
+
+    class Spy(ML.CrossValidator):
+        def _fit(self, data):
+            weight = self.getEstimator().getWeightCol()
+            seen.append((data.count(), data.agg(F.sum(weight)).first()[0]))
+            return super()._fit(data)
+
+    monkeypatch.setattr(ML, "CrossValidator", Spy)
+    df = spark.range(4000).select((F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 > 4).cast("int").alias("label"))
+    model = ML.train_classifier(df, ["x"], "label", depths=(1, 2), iterations=(2,), folds=2)
+    assert seen == [(20, 4000.0)]
+    assert model.transform(df).where("prediction <> label").count() == 0
