@@ -214,7 +214,8 @@ def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
     """DQ10: a row per column: type, nulls, completeness, min, max, mean, standard deviation, distinct values, cardinality.
 
     One aggregate over all columns. Distinct counts are approximate (HyperLogLog++) unless exact is asked for, which plans an
-    expansion of the rows by column."""
+    expansion of the rows by column. Rows are then spread over tasks first, as a task holds the distinct values of what it reads."""
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if exact_distinct else df
     distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
     aggs, parts = [], []

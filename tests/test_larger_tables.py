@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import features as FE
 from sluice.operators import models as ML
+from sluice.operators import quality as DQ
 from sluice.operators import scores as SP
 from sluice.operators import similarity as SM
 
@@ -64,3 +65,9 @@ def test_boosted_trees_are_fitted_on_weighted_rows(spark, monkeypatch):
     model = ML.train_classifier(df, ["x"], "label", depths=(1, 2), iterations=(2,), folds=2)
     assert seen == [(20, 4000.0)]
     assert model.transform(df).where("prediction <> label").count() == 0
+
+
+def test_exact_profiles_are_spread_over_tasks(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("v"))
+    out = DQ.profile(df, exact_distinct=True)
+    assert "RoundRobinPartitioning" in plan(out) and out.first()["distinct"] == 7
