@@ -16,6 +16,8 @@ from sluice.operators.features import WINDOWS
 #: name -> microseconds.
 _WIDTHS = {name: seconds * 1_000_000 for name, (seconds, _) in WINDOWS.items()}
 _LONGEST = max(_WIDTHS.values())
+#: Buckets of keys whose state is kept together. A running stream keeps to the number it was started with.
+BUCKETS = 1024
 
 
 def figures(ts: np.ndarray, value: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
@@ -33,41 +35,54 @@ def figures(ts: np.ndarray, value: np.ndarray, at: np.ndarray) -> dict[str, np.n
 
 
 class _Velocity(StatefulProcessor):
-    """A key's events of the longest window, and those that wait for the watermark. An event's figures are final, and given, when the
-    watermark has passed it; an event-time timer does that, and another one removes the key when nothing can need it any more."""
+    """The events of the longest window of a bucket of keys, and those that wait for the watermark. An event's figures are final, and given,
+    when the watermark has passed it; an event-time timer does that, and another one removes the bucket when nothing can need it any more.
+
+    A row of the state is a batch of events as the bytes of their columns, so that the state is read and written by columns, not event by event."""
+
+    #: Columns of an event, as they are packed.
+    PACKED = {"key": np.int64, "ts": np.int64, "value": np.float64, "id": np.int64, "given": np.bool_}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getListState("events", "ts long, value double, id long, given boolean")
+        self.events = handle.getListState("events", ", ".join(f"{c} binary" for c in self.PACKED))
+
+    def _packed(self, columns: dict[str, np.ndarray]) -> tuple[bytes, ...]:
+        return tuple(np.asarray(columns[c], dtype=t).tobytes() for c, t in self.PACKED.items())
 
-    def _held(self) -> pd.DataFrame:
+    def _held(self) -> dict[str, np.ndarray]:
+        """All events of the bucket, by key, time and id."""
         rows = list(self.events.get()) if self.events.exists() else []
-        held = pd.DataFrame(rows, columns=["ts", "value", "id", "given"])
-        return held.astype({"ts": "int64", "value": "float64", "id": "int64", "given": "bool"})
+        held = {c: np.frombuffer(b"".join(bytes(r[k]) for r in rows), dtype=t) for k, (c, t) in enumerate(self.PACKED.items())}
+        order = np.lexsort((held["id"], held["ts"], held["key"]))
+        return {c: v[order] for c, v in held.items()}
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  Spark's names
+        first = None
         for pdf in rows:
-            values = [None if np.isnan(v) else float(v) for v in pdf["value"].astype("float64")]
-            self.events.appendList([(int(t), v, int(i), False) for t, v, i in zip(pdf["us"], values, pdf["id"], strict=True)])
-            self.handle.registerTimer(int(pdf["us"].min()) // 1000)
+            at = pdf["us"].to_numpy()
+            self.events.appendValue(self._packed({"key": pdf["key"], "ts": at, "value": pdf["value"].astype("float64"), "id": pdf["id"], "given": np.zeros(len(at))}))
+            first = at.min() if first is None else min(first, at.min())
+        if first is not None:
+            self.handle.registerTimer(int(first) // 1000)
         yield from ()
 
     def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        held = self._held().sort_values(["ts", "id"], kind="stable", ignore_index=True)
-        ts, given = held["ts"].to_numpy(), held["given"].to_numpy()
-        due = np.flatnonzero(~given & (ts < now))
-        if due.size:
-            found = figures(ts, held["value"].to_numpy(), due)
-            yield pd.DataFrame({"key": [key[0]] * due.size, "id": held["id"].to_numpy()[due], "us": ts[due]} | found)
-        held.loc[due, "given"] = True
-        held = held[~held["given"] | (held["ts"] >= now - _LONGEST)]
-        if held.empty:
+        held = self._held()
+        ts, due = held["ts"], ~held["given"] & (held["ts"] < now)
+        edges = [0, *(np.flatnonzero(np.diff(held["key"])) + 1), len(ts)]
+        found = [figures(ts[a:b], held["value"][a:b], np.flatnonzero(due[a:b])) for a, b in zip(edges, edges[1:], strict=False) if due[a:b].any()]
+        if found:
+            yield pd.DataFrame({"key": held["key"][due], "id": held["id"][due], "us": ts[due]} | {c: np.concatenate([f[c] for f in found]) for c in found[0]})
+        held["given"] = held["given"] | due
+        stay = ~held["given"] | (ts >= now - _LONGEST)
+        if not stay.any():
             self.events.clear()
             return
-        values = [None if np.isnan(v) else float(v) for v in held["value"]]
-        self.events.put([(int(t), v, int(i), bool(g)) for t, v, i, g in zip(held["ts"], values, held["id"], held["given"], strict=True)])
-        waiting = held.loc[~held["given"], "ts"]
+        held = {c: v[stay] for c, v in held.items()}
+        self.events.put([self._packed(held)])
+        waiting = held["ts"][~held["given"]]
         self.handle.registerTimer(int(waiting.min()) // 1000 if len(waiting) else (int(held["ts"].max()) + _LONGEST) // 1000 + 1)
 
     def close(self) -> None:
@@ -79,13 +94,14 @@ def event_velocity(df: DataFrame, key: str, ts: str, value: str, event_id: str,
     those of the same time included. In a batch, range windows; in a stream, keyed state: an event is given when the watermark has
     passed it, so events may come in any order within the delay, and later ones are dropped (split_late() keeps them).
 
-    A key's state is its events of seven days and of the delay; it needs the RocksDB state store (run_stream(..., keyed_state=True)).
+    The state is the events of seven days and of the delay, kept for BUCKETS buckets of keys, as calls to the state store cost more than the
+    figures do: there are a few for each bucket and batch, whatever the number of keys and events. It needs the RocksDB state store (run_stream(..., keyed_state=True)).
     Keys and ids are longs; a null value counts nowhere; rows with a null key or time are left out."""
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(ts).cast("timestamp").alias("at"), F.col(value).cast("double").alias("value"), F.col(event_id).cast("long").alias("id")).where("key is not null and at is not null")
     rows = rows.withColumn("us", F.unix_micros("at"))
     if df.isStreaming:
         fields = ", ".join(f"count_{n} long, sum_{n} double, avg_{n} double" for n in WINDOWS)
-        found = rows.withWatermark("at", delay).groupBy("key").transformWithStateInPandas(_Velocity(), f"key long, id long, us long, {fields}", "append", "EventTime")
+        found = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))).withWatermark("at", delay).groupBy("bucket").transformWithStateInPandas(_Velocity(), f"key long, id long, us long, {fields}", "append", "EventTime")
     else:
         cols = {}
         for name, width in _WIDTHS.items():

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice.operators import quality as DQ
 from sluice.operators.quality import Rule
 from sluice.streaming import streams as ST
+from sluice.streaming import velocity
 from sluice.streaming.velocity import event_velocity, figures
 
 SCHEMA = "event_id long, ts timestamp, user_id long, value double"
@@ -46,6 +47,20 @@ def test_velocity_of_a_stream_is_that_of_the_table(spark, tmp_path):
     assert got == want and len(got) > 600
 
 
+def test_velocity_of_keys_that_share_a_bucket(spark, tmp_path, monkeypatch):
+    """Many keys in two buckets of state, events without a value, and a second run from the checkpoint"""
+    monkeypatch.setattr(velocity, "BUCKETS", 2)
+    rows = [(k, START + timedelta(minutes=37 * k), k % 23, None if k % 7 == 0 else float(k % 11)) for k in range(600)]
+    for part in (rows[:350], rows[350:]):
+        write(spark, part, f"{tmp_path}/in")
+        ST.run_stream(ST.stream_source(spark, f"{tmp_path}/in", SCHEMA), lambda s: event_velocity(s, "user_id", "ts", "value", "event_id"), f"{tmp_path}/out", f"{tmp_path}/ck", keyed_state=True).awaitTermination()
+    columns = ["event_id", "user_id", *(f"{f}_{n}" for n in ("1h", "24h", "7d") for f in ("count", "sum"))]
+    whole = event_velocity(spark.createDataFrame(rows, SCHEMA), "user_id", "ts", "value", "event_id").where(F.col("ts") < F.lit(rows[-1][1] - timedelta(hours=1)))
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select(columns).collect())) == sorted(map(tuple, whole.select(columns).collect()))
+    state = spark.read.format("statestore").option("stateVarName", "events").option("flattenCollectionTypes", "false").load(f"{tmp_path}/ck")
+    assert state.count() <= 2
+
+
 def test_late_rows_come_back_by_id(spark, tmp_path):
     at = lambda h: START + timedelta(hours=h)
     parts = [[(1, at(0), 1, 1.0), (2, at(50), 1, 1.0)], [(3, at(49.5), 1, 1.0), (4, at(48), 1, 1.0), (5, None, 1, 1.0), (6, at(60), 1, 1.0)], [(7, at(1), 1, 1.0), (8, at(59), 1, 1.0), (9, at(58.9), 1, 1.0)]]
