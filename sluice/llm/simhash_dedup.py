@@ -10,8 +10,10 @@ pairs to look at (a coordinate of random fingerprints has a standard deviation o
 almost half of all pairs), so pairs come from buckets: the 64 bits are cut into blocks, and fingerprints within max_distance
 agree in all bits of some `blocks - max_distance` blocks. No link is lost.
 
-keep_one() has no fingerprints: near-copies by the Jaccard similarity of their shingles meet in MinHash buckets, and each pair
-is settled by the exact similarity.
+keep_one() goes by the same fingerprints, blocks and pivot table, here of a text's distinct five-word shingles: each set is held
+against the first one of its group of fingerprints, by the exact Jaccard similarity. What differs in more bits than fingerprints can
+tell from strangers (at a similarity of 0.8 they are ten bits apart) is sought beside, in MinHash buckets, but not again what the
+fingerprints have settled.
 
 Inside a bucket not all pairs are looked at; see graph.bucket_groups().
 
@@ -39,6 +41,20 @@ from sluice.llm.graph import bucket_groups, sizes_allow
 CHUNK = 1 << 18
 
 
+def _majority(ones: np.ndarray, n: int) -> int:
+    return int(np.packbits(2 * ones > n).view(">i8")[0])
+
+
+def _ones(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits."""
+    return np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def set_fingerprint(h: np.ndarray) -> int:
+    """The SimHash of a set of hashes, as a signed number; of none, zero."""
+    return _majority(sum((_ones(h[at : at + CHUNK]) for at in range(0, len(h), CHUNK)), np.zeros(64, dtype=np.int64)), len(h))
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     """The SimHash of the word shingles of a text, A-Z lower-cased, as a signed number."""
     w = (text or "").encode().lower().split()  # bytes: ASCII only, in both
@@ -50,8 +66,8 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
         part = w[at : at + CHUNK + shingle - 1]
         grams = zip(*(part[k:] for k in range(shingle)), strict=False) if len(w) >= shingle else [w]
         h = np.fromiter((xxhash.xxh64_intdigest(g, seed) for g in map(b" ".join, grams)), dtype=np.uint64)
-        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n).view(">i8")[0])
+        ones += _ones(h)
+    return _majority(ones, n)
 
 
 def with_fingerprints(df: DataFrame, id_col: str, text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
@@ -170,13 +186,27 @@ def _similar_pairs(texts: DataFrame, shingle: int, similarity: float) -> DataFra
     return texts.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, agree: int = 4, tables: int = 20) -> DataFrame:
+def print_pairs(least: DataFrame, max_distance: int) -> DataFrame:
+    """(a, b), a < b, stored, of the sets (id, fp) whose fingerprints are linked, over others or not: each with the first of its group."""
+    items = stored(least.select(F.col("fp").alias("id"), "fp").distinct(), "copy-items")
+    found = near_groups(items, max_distance, name="copy-prints")
+    nodes = least.select("id", "fp").join(found.withColumnRenamed("id", "fp"), "fp", "left").select("id", F.coalesce("component", "fp").alias("c"))
+    heads = nodes.groupBy("c").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = stored(nodes.join(heads, "c").where("id <> a").select("a", F.col("id").alias("b")), "copy-pairs")
+    for old in (items, found):
+        discard(old)
+    return pairs
+
+
+def keep_one(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, agree: int = 4, tables: int = 20, max_distance: int = 3
+) -> DataFrame:
     """The rows of df without those that another row of their group stands for: the one with the smallest id stays; of rows
     that share this id, the ones with the smallest 64-bit hash of id and text (rows equal in both: one of them). Null ids are
     larger than all others. Texts without words are copies of each other.
 
-    Links are pairs whose sets of five-word shingles have a Jaccard similarity of at least 0.8, by exact count. Pairs to count
-    share a MinHash bucket: 1 - (1 - 0.8**4)**20 = 0.99997 of those at 0.8 do, and more above."""
+    Links are pairs whose sets of five-word shingles have a Jaccard similarity of at least 0.8, by exact count. Pairs to count are
+    those of print_pairs(), and those that share a MinHash bucket: 1 - (1 - 0.8**4)**20 = 0.99997 of those at 0.8 do, and more above."""
     row = hidden(df, "row")[0]
     keyed = df.withColumn(row, F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("i"), F.xxhash64(id_col, text_col).alias("h")))
 
@@ -185,12 +215,13 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
             sets = [shingles(x.as_py(), shingle) for x in b.column(1)]
             ids = pa.array([_signed(xxhash.xxh64_intdigest(h.tobytes())) for h in sets], type=pa.int64())
             keys = pa.array([minhash_keys(h, agree, tables) for h in sets], type=pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], type=pa.int32()), keys], names=["row", "id", "size", "keys"])
+            prints = pa.array([set_fingerprint(h) for h in sets], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), ids, pa.array([len(h) for h in sets], type=pa.int32()), keys, prints], names=["row", "id", "size", "keys", "fp"])
 
     kind = keyed.schema[row].dataType.simpleString()
     rows = keyed.select(F.col(row).alias("row"), F.col(text_col).alias("t"))
-    sets = stored(rows.mapInArrow(run, f"row {kind}, id long, size int, keys array<long>"), "shingles")
-    least = stored(sets.groupBy("id").agg(F.min("row").alias("row"), F.min("size").alias("size"), F.min("keys").alias("keys")), "least")
+    sets = stored(rows.mapInArrow(run, f"row {kind}, id long, size int, keys array<long>, fp long"), "shingles")
+    least = stored(sets.groupBy("id").agg(F.min("row").alias("row"), F.min("size").alias("size"), F.min("keys").alias("keys"), F.min("fp").alias("fp")), "least")
 
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
@@ -201,12 +232,14 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
         discard(texts)
         return links
 
-    found = bucket_groups(least.select("id", F.explode("keys").alias("key"), "size"), verify, "copies", sizes_allow(similarity))
+    pairs = print_pairs(least, max_distance)
+    links = verify(pairs)
+    found = bucket_groups(least.select("id", F.explode("keys").alias("key"), "size"), verify, "copies", sizes_allow(similarity), known=(pairs, links))
     # Rows that stay are those of their group's first set and place; of rows equal in id and text one, hence the drop of repeats.
     one = least.join(found, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min("row").alias("row")).select("row")
     one = stored(one, "copies-kept")
     twice = stored(sets.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row").join(one, "row"), "copies-twice")
-    for old in (sets, least, found):
+    for old in (sets, least, found, pairs, links):
         discard(old)
     kept = keyed.join(one.withColumnRenamed("row", row), row, "left_semi")
     if twice.take(1):
