@@ -55,18 +55,22 @@ def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def train_classifier(train: DataFrame, features: list[str], label: str, depths: tuple[int, ...] = (3, 5), iterations: tuple[int, ...] = (10,), steps: tuple[float, ...] = (0.1,), folds: int = 3, seed: int = 42) -> PipelineModel:
     """ML01: gradient-boosted trees, cross-validated on the area under the ROC curve. Each row is dealt to a fold; rows equal in fold, label
-    and features are then one row whose weight is their number, which is the same to trees and areas, and the fits go over these."""
+    and features are then one row whose weight is their number, which is the same to trees and areas, and the fits go over these. A grid
+    of one point leaves nothing to choose: it is fitted once, on all rows, without folds."""
     weight, fold = clear_names(train, "weight", "fold")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", weightCol=weight, seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, depths).addGrid(gbt.maxIter, iterations).addGrid(gbt.stepSize, steps).build()
     prepared = assemble_scaled(features).fit(train)
-    dealt = train.select(label, *features, F.floor(F.rand(seed) * folds).cast("int").alias(fold))
+    number = F.floor(F.rand(seed) * folds).cast("int") if len(grid) > 1 else F.lit(0)
+    dealt = train.select(label, *features, number.alias(fold))
     data = dealt.groupBy(label, *features, fold).agg(F.count(F.lit(1)).cast("double").alias(weight))
     kept = prepared.transform(data).select(label, "features", weight, fold).persist()
     try:
         n, now, cores = kept.count(), kept.rdd.getNumPartitions(), train.sparkSession.sparkContext.defaultParallelism
         parts = max(-(-n // TASK_ROWS), min(cores, -(-n // 20_000)), 1)
         data = kept.coalesce(parts) if parts < now else kept.repartition(parts)
+        if len(grid) == 1:
+            return PipelineModel([*prepared.stages, gbt.fit(data, grid[0])])
         evaluator = BinaryClassificationEvaluator(labelCol=label, weightCol=weight)
         cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, parallelism=2, seed=seed, foldCol=fold).fit(data)
     finally:
